@@ -113,7 +113,8 @@ def mix(
         shift.alias("shift"),
     )
     where = F.floor(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") * F.col("ranges") / F.lit(4294967296.0)).cast("long")
-    placed = named.join(sizes, ["sk", "z"]).withColumn("part", where)
+    # Dealt by range, or what follows would reuse the join's partitions and number a whole size in one task.
+    placed = named.join(sizes, ["sk", "z"]).withColumn("part", where).repartition("sk", "z", "part")
     parts = placed.groupBy("sk", "z", "part").agg(F.count("*").alias("n"))
     parts = parts.select("sk", "z", "part", F.coalesce(F.sum("n").over(before(Window.partitionBy("sk", "z").orderBy("part"))), F.lit(0)).alias("part_offset"))
     order = Window.partitionBy("sk", "z", "part").orderBy("digest", "id")
