@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing
+from . import chat, mixing, simhash, topk, vptree
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_simhash": simhash.op2_simhash,
+        "op3_topk": topk.op3_topk,
+        "op4_vptree": vptree.op4_vptree,
         "op5_mixing": mixing.op5_mixing,
         "op7_chat": chat.op7_chat,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.SQL, "op7_chat": chat.SQL}
+    return {"op3_topk": topk.SQL, "op5_mixing": mixing.SQL, "op7_chat": chat.SQL}
