@@ -76,6 +76,9 @@ class Search:
     def __init__(self, tree: VantageTree, ids: np.ndarray, q: np.ndarray, qid: np.ndarray, k: int, factor: float):
         self.tree, self.ids, self.q, self.qid, self.k, self.factor = tree, ids, q, qid, k, factor
         self.base = np.einsum("ij,ij->i", q, q) + tree.top
+        #: Matrix products of equal vectors differ in their last bits. Rounded, they tie, and the ids decide.
+        scale = np.sqrt(max(tree.top, 1e-300) * max(float(np.einsum("ij,ij->i", q, q).max(initial=0.0)), 1e-300))
+        self.decimals = int(12 - np.ceil(np.log10(scale)))
         self.best = np.full((len(q), k), -np.inf)
         self.best_id = np.full((len(q), k), np.iinfo(np.int64).max)
 
@@ -83,7 +86,7 @@ class Search:
         return np.sqrt(np.maximum(self.base[rows] - 2 * scores, 0.0))
 
     def offer(self, rows: np.ndarray, items: np.ndarray, scores: np.ndarray) -> None:
-        ids = self.ids[items]
+        ids, scores = self.ids[items], np.round(scores, self.decimals)
         scores[self.qid[rows, None] == ids[None, :]] = -np.inf
         better = (scores >= self.best[rows, -1:]).any(1)
         rows, scores = rows[better], scores[better]
@@ -133,7 +136,10 @@ def _search(k: int, width: int, factor: float, leaf: int):
         work = Search(VantageTree(x, leaf), ids[by], q, qid, k, factor)
         work.run()
         r, c = np.nonzero(~np.isneginf(work.best))
-        return rows_of(_FOUND, query_id=qid[r], vec_id=work.best_id[r, c], score=work.best[r, c])
+        found, place = work.best_id[r, c], np.argsort(ids[by])
+        rows = place[np.searchsorted(ids[by], found, sorter=place)]
+        exact = (q[r] * x[rows]).sum(axis=1)  # one fixed order of summing for all pairs
+        return rows_of(_FOUND, query_id=qid[r], vec_id=found, score=exact)
 
     return run
 
