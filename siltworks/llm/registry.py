@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, simhash, topk, vptree
+from . import chat, mixing, simhash, tokens, topk, vptree
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_vptree": vptree.op4_vptree,
         "op5_mixing": mixing.op5_mixing,
         "op7_chat": chat.op7_chat,
+        "op8_tokens": tokens.op8_tokens,
     }
 
 
