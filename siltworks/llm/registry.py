@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, simhash, tokens, topk, vptree
+from . import chat, langid, lm, mixing, quality, simhash, tokens, topk, vptree
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": quality.op1_quality,
         "op2_simhash": simhash.op2_simhash,
         "op3_topk": topk.op3_topk,
         "op4_vptree": vptree.op4_vptree,
         "op5_mixing": mixing.op5_mixing,
         "op7_chat": chat.op7_chat,
         "op8_tokens": tokens.op8_tokens,
+        "op9_lm": lm.op9_lm,
+        "op10_langid": langid.op10_langid,
     }
 
 
