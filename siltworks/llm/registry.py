@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, langid, lm, mixing, quality, simhash, tokens, topk, vptree
+from . import chat, langid, lm, mixing, pieces, quality, simhash, tokens, topk, vptree
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_topk": topk.op3_topk,
         "op4_vptree": vptree.op4_vptree,
         "op5_mixing": mixing.op5_mixing,
+        "op6_pieces": pieces.op6_pieces,
         "op7_chat": chat.op7_chat,
         "op8_tokens": tokens.op8_tokens,
         "op9_lm": lm.op9_lm,
