@@ -35,6 +35,10 @@ CHUNK = 32
 UNKNOWN = "und"
 
 
+class NothingToLearn(ValueError):
+    """There is no labelled text."""
+
+
 @dataclass
 class Net:
     """languages; e (256, EMBED); w per width (width, EMBED, FILTERS); b (filters); v, c of the last layer."""
@@ -174,7 +178,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     found = usable.join(F.broadcast(chosen), "id", "left_semi").select("lang", "id", F.array_distinct(cut).alias("w")).orderBy("id", "lang", "w").limit(rows).collect()
     pairs = [(w.encode("utf-8", "replace"), r["lang"]) for r in found for w in r["w"]]
     if not pairs:
-        raise ValueError("no labelled text to learn from")
+        raise NothingToLearn("no labelled text to learn from")
     return train([w for w, _ in pairs], [lang for _, lang in pairs])
 
 
