@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import materialize, table
+from .common import materialize, most_frequent, table
 
 VOCABULARY = (1 << 16) - 2
 #: Longer words (in bytes) are unknown words.
@@ -154,8 +154,9 @@ def count_table(docs: DataFrame, text_col: str, words, n_buckets: int) -> DataFr
 def fit(background: DataFrame, target: DataFrame, text_col: str = "text", vocabulary: int = VOCABULARY, n_buckets: int = BUCKETS) -> Model:
     """Both models from all of their texts. What reaches the driver is bounded by the two sizes."""
     spark = background.sparkSession
-    top = word_table(background, text_col).where(F.octet_length("word") <= WORD_BYTES).orderBy(F.desc("n"), "word").limit(vocabulary)
-    words = [bytes(w) for w in top.select("word").toPandas()["word"]]
+    counted = materialize(word_table(background, text_col), "words")
+    top = most_frequent(counted.where(F.octet_length("word") <= WORD_BYTES), "n", vocabulary)
+    words = sorted(bytes(w) for w in top.select("word").toPandas()["word"])
     shared = spark.sparkContext.broadcast(words)
     v = len(words) + 2
     counts = []

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from tokenizers import Tokenizer
 
-from .common import materialize, table
+from .common import materialize, most_frequent, table
 
 #: Frequent pre-tokens that every task holds, and the longest (in characters) among them.
 HEAD, HEAD_CHARS = 1 << 18, 48
@@ -131,7 +131,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
     spark = docs.sparkSession
     pieces = materialize(word_pieces(docs, text_col, path), "pieces")
-    frequent = pieces.where(F.length("word") <= HEAD_CHARS).orderBy(F.desc("n"), "word").limit(head)
+    frequent = most_frequent(pieces.where(F.length("word") <= HEAD_CHARS), "n", head)
     top = frequent.select("word", "pieces").toPandas()  # at most ``head`` rows of bounded length
     known = spark.sparkContext.broadcast(dict(zip(top["word"].tolist(), top["pieces"].tolist(), strict=True)))
 
