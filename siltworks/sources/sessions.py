@@ -230,7 +230,7 @@ def candidates(files: DataFrame, workspace: str | None = None, since: str | None
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(prompt.isNotNull(), F.struct("line_no", F.substring(prompt, 1, 4000).alias("t"))))), lambda x: x["t"]), "\n").alias("prompts"),
         F.max(hit.cast("int")).alias("hit"),
     )
-    sized = meta.select("session_file", "agent", "source_no", "mtime", "size_bytes", (F.size(F.split(F.decode("content", F.lit("ISO-8859-1")), "\n")) - 1).cast("long").alias("n_lines"))
+    sized = meta.select("session_file", "agent", "source_no", "mtime", "size_bytes", (F.size(F.split(F.decode("content", "ISO-8859-1"), "\n")) - 1).cast("long").alias("n_lines"))
     found = sized.join(facts, "session_file").withColumn("cwd", F.replace("cwd", F.lit("\\"), F.lit("/"))).where("cwd <> ''").where((F.col("n_lines") >= min_lines) & (F.col("hit") == 1))
     if workspace:
         found = found.where(F.contains("cwd", F.lit(workspace)))
