@@ -5,9 +5,11 @@ slice is one score list: the partial inner product of every candidate. A list is
 spread over shards, and queries come in blocks, so a task scores one slice of
 one block against one shard.
 
-1. Every list hands in its k best entries. Their partial sums give a lower bound
-   of the k-th best total. Divided by the number of lists it is the cutoff: a
-   candidate below it in every list cannot reach the bound.
+1. Every list hands in its k best entries. The totals of these candidates, looked
+   up exactly, give a lower bound of the k-th best total. (Partial sums would do,
+   but they count missing lists as lowest and make a cutoff that hardly cuts.)
+   Divided by the number of lists it is the cutoff: a candidate below it in every
+   list cannot reach the bound.
 2. The cutoff goes out with the queries, and every list hands in all entries at
    or above it. Their sums give a better bound; a candidate whose sum plus the
    cutoff for each missing list stays below it is dropped.
@@ -124,14 +126,20 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, lists: int = LISTS, bloc
         key = ["list", "block", "shard"]
         return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(run, _FOUND_SQL)
 
+    def exact(pairs: DataFrame) -> DataFrame:
+        """query_id, item_id and their whole score, looked up from the vectors."""
+        looked = pairs.join(queries.select(F.col("id").alias("query_id"), F.col("c").alias("a")), "query_id").join(items.select(F.col("id").alias("item_id"), F.col("c").alias("b")), "item_id")
+        product = F.aggregate(F.zip_with("a", "b", lambda x, y: F.coalesce(x * y, F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
+        return looked.select("query_id", "item_id", product.alias("sum"))
+
     best = Window.partitionBy("query_id").orderBy(F.desc("sum"), "item_id")
     # Phase 1
     handed = materialize(meet(sliced(queries), _local_best(k, width)), "heads")
     lows = handed.groupBy("query_id", "list").agg(F.min("low").alias("low"))
     in_list = Window.partitionBy("query_id", "list").orderBy(F.desc("part"), "item_id")
-    heads = handed.withColumn("r", F.row_number().over(in_list)).where(F.col("r") <= k).drop("low", "r").join(lows, ["query_id", "list"])
-    sums = heads.groupBy("query_id", "item_id").agg(F.sum(F.col("part") - F.col("low")).alias("sum"))
-    bounds = sums.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).groupBy("query_id").agg(_kth("sum", k).alias("bound"))
+    heads = handed.withColumn("r", F.row_number().over(in_list)).where(F.col("r") <= k).select("query_id", "item_id").distinct()
+    bounds = exact(heads).withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).groupBy("query_id").agg(_kth("sum", k).alias("bound"))
+    bounds = bounds.join(lows.groupBy("query_id").agg(F.sum("low").alias("lows")), "query_id").select("query_id", (F.col("bound") - F.col("lows")).alias("bound"))
     # With fewer than k candidates there is no bound, and everything is handed in.
     cut = bounds.select("query_id", F.floor(F.coalesce(F.col("bound"), F.lit(0)) / lists).cast("long").alias("cut"))
     cutoffs = materialize(lows.join(cut, "query_id").select(F.col("query_id").alias("id"), "list", "low", "cut", (F.col("cut") + F.col("low")).alias("bar")), "cutoffs")
@@ -145,9 +153,7 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, lists: int = LISTS, bloc
     # Phase 3
     known = left.where(F.col("seen") == lists).select("query_id", "item_id", (F.col("sum") + F.col("lows")).alias("sum"))
     missing = left.where(F.col("seen") < lists).select("query_id", "item_id")
-    looked = missing.join(queries.select(F.col("id").alias("query_id"), F.col("c").alias("a")), "query_id").join(items.select(F.col("id").alias("item_id"), F.col("c").alias("b")), "item_id")
-    product = F.aggregate(F.zip_with("a", "b", lambda x, y: F.coalesce(x * y, F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s + x)
-    totals = known.unionByName(looked.select("query_id", "item_id", product.alias("sum")))
+    totals = known.unionByName(exact(missing))
     return totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", F.col("item_id").alias("vec_id"), F.col("sum").alias("score"))
 
 
