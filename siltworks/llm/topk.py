@@ -33,6 +33,8 @@ from .vectors import clean_vectors, paired, rows_of
 QUERY_BLOCK = 1024
 SHARD = 16384
 LISTS = 2
+#: Products of components up to this, over 2048 of them, fit a long.
+LARGEST = 1 << 26
 #: Queries scored at a time inside a task.
 STRIP = 128
 
@@ -107,7 +109,7 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, lists: int = LISTS, bloc
     count as padded with zeros. An id that repeats among the items is found once,
     as the sum of its rows' bounds would not hold: repeated rows must be equal,
     and one of them is kept. Empty inputs give an empty result. |c| must stay
-    under 2**31 for sums to fit.
+    within LARGEST.
     """
     queries = materialize(queries.dropDuplicates(["id"]), "queries")
     items = materialize(items.dropDuplicates(["id"]), "items")
@@ -158,8 +160,13 @@ def top_k(queries: DataFrame, items: DataFrame, k: int, lists: int = LISTS, bloc
 
 
 def quantized(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256) -> DataFrame:
-    """id and c: floor(scale * x) of each component, for the vectors that take part."""
-    return clean_vectors(df, id_col, vector_col).select("id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("c"))
+    """id and c: floor(scale * x) of each component, for the vectors that take part.
+
+    A vector with a component beyond LARGEST steps takes no part, as its scores
+    might not fit a long.
+    """
+    fits = F.forall("v", lambda x: F.abs(x) * float(scale) < float(LARGEST))
+    return clean_vectors(df, id_col, vector_col).where(fits).select("id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale)))).alias("c"))
 
 
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,8 +53,8 @@ def test_topk_edges(spark):
 
 
 def test_topk_large_values(spark):
-    rows = [(i, [3e6 * (i + 1), -2e6 * i]) for i in range(6)]
-    items = topk.quantized(vectors(spark, rows))
+    rows = [(i, [2.3e5 - i, -2.2e5 - i, 2.1e5]) for i in range(6)]  # products beyond what doubles hold exactly
+    items = topk.quantized(vectors(spark, [*rows, (9, [1e300, 0.0, 0.0])]))
     assert sorted(map(tuple, topk.top_k(items, items, 2).collect())) == plain(rows, set(range(6)), 2, grid)
 
 

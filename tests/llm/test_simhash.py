@@ -23,7 +23,7 @@ def plain_print(text):
 
 
 def plain_components(ids, prints):
-    ids, prints = list(ids), np.array(prints, np.uint64)
+    ids, prints = list(ids), np.array(list(prints), np.uint64)
     up = list(range(len(ids)))
 
     def root(x):
