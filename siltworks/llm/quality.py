@@ -153,7 +153,7 @@ class Scorer:
 def fit_scorer(samples: list[tuple[bytes, np.ndarray]], y: np.ndarray, rounds: int = 300, rate: float = 0.05, ridge: float = 1e-4) -> Scorer:
     """Logistic regression on soft labels ``y`` by Adam; grams weigh 30 times their share, so both kinds learn alike."""
     fs = [features(d, x) for d, x in samples]
-    sizes = np.array([len(g) for g, _ in fs])
+    sizes = np.array([len(g) for g, _ in fs], np.int64)
     row = np.repeat(np.arange(len(fs)), sizes)
     gram = np.concatenate([g for g, _ in fs]) if fs else np.zeros(0, np.int64)
     key, n = np.unique(row * DIM + gram.astype(np.int64), return_counts=True)
