@@ -220,7 +220,7 @@ THEMES = {
 DIRECTION_NOCODE = {
     "schema_version": 2,
     "direction": "nocode",
-    "skill": "session-export-nocode",
+    "skill": "nocode",
     "override": {"min_user_turns": 5, "exclude_keywords": list(CODING_WORDS)},
     "themes": [{"theme": "role-play"}, {"theme": "writing"}, {"theme": "planning"}, {"theme": "report-analysis"}],
 }

@@ -1,8 +1,8 @@
 """Copying what is kept, checking copies against the manifest, and packing an archive.
 
-Copies are made by tasks through the Hadoop file system, a file at a time. The
-archive is made on the driver from the local folder of a delivery, which is
-small by then.
+A delivery is what people or policies have selected, some files out of very many:
+it is copied and packed on the driver, a file at a time. Listing, hashing and
+reconciling are distributed.
 """
 
 from __future__ import annotations

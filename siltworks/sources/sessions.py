@@ -15,11 +15,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import fixed, text
-from siltworks.operators import view
+from siltworks.operators import order, view
 
 RECORD = "type string, stop_reason string, cwd string, message struct<role string, stop_reason string, content variant>, payload variant"
 _BLOCKS = "array<struct<type string, text string, signature string, id string, tool_use_id string, name string, is_error boolean, input variant, content variant>>"
@@ -234,5 +234,5 @@ def candidates(files: DataFrame, workspace: str | None = None, since: str | None
     found = sized.join(facts, "session_file").withColumn("cwd", F.replace("cwd", F.lit("\\"), F.lit("/"))).where("cwd <> ''").where((F.col("n_lines") >= min_lines) & (F.col("hit") == 1))
     if workspace:
         found = found.where(F.contains("cwd", F.lit(workspace)))
-    order = Window.orderBy("source_no", "session_file")
-    return found.select("agent", "cwd", F.unix_timestamp("mtime").alias("mtime"), "size_bytes", "n_lines", text.preview(F.col("prompts")).alias("first_prompt"), "session_file", F.row_number().over(order).cast("long").alias("scan_ord"))
+    columns = ["agent", "cwd", F.unix_timestamp("mtime").alias("mtime"), "size_bytes", "n_lines", text.preview(F.col("prompts")).alias("first_prompt"), "session_file"]
+    return order.numbered(found.select(*columns, "source_no"), ["source_no", "session_file"]).drop("source_no")
