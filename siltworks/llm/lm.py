@@ -151,6 +151,29 @@ def count_table(docs: DataFrame, text_col: str, words, n_buckets: int) -> DataFr
     return docs.select(docs[f"`{text_col}`"].cast("string").alias("t")).mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
 
 
+#: Counters in one packed row.
+BLOCK = 1 << 16
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of whole blocks of places as dense arrays, a row each."""
+    blocks: dict[int, np.ndarray] = {}
+    for batch in batches:
+        place, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for block in np.unique(place // BLOCK).tolist():
+            mine = place // BLOCK == block
+            blocks.setdefault(block, np.zeros(BLOCK, np.int64))[place[mine] % BLOCK] += n[mine]
+    yield pa.record_batch([pa.array(list(blocks), pa.int32()), pa.array([x.tobytes() for x in blocks.values()], pa.binary())], names=["block", "data"])
+
+
+def dense(counts: DataFrame, size: int) -> np.ndarray:
+    """``counts`` (place, n) as one array of ``size``; it reaches the driver as a few packed rows."""
+    out = np.zeros(-(-size // BLOCK) * BLOCK, np.int64)
+    for block, data in counts.repartition(F.expr(f"place div {BLOCK}")).mapInArrow(_packed, "block int, data binary").collect():
+        out[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(data, np.int64)
+    return out[:size]
+
+
 def fit(background: DataFrame, target: DataFrame, text_col: str = "text", vocabulary: int = VOCABULARY, n_buckets: int = BUCKETS) -> Model:
     """Both models from all of their texts. What reaches the driver is bounded by the two sizes."""
     spark = background.sparkSession
@@ -161,15 +184,10 @@ def fit(background: DataFrame, target: DataFrame, text_col: str = "text", vocabu
     v = len(words) + 2
     counts = []
     for docs in (target, background):
-        found = count_table(docs, text_col, shared, n_buckets).toPandas()
-        n = np.zeros(v + n_buckets, np.int64)
-        n[found["place"].to_numpy()] = found["n"].to_numpy()
-        counts.append(n)
+        counts.append(dense(count_table(docs, text_col, shared, n_buckets), v + n_buckets))
     return Model(words, counts[0][:v], counts[1][:v], counts[0][v:], counts[1][v:])
 
 
-_ready: dict[int, Model] = {}
-
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "ce_difference") -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default), n_scored (tokens) and the score; these replace columns of their names.
