@@ -1,18 +1,21 @@
 """Score texts by cross-entropy difference between two matched n-gram models.
 
 A target model (texts like those wanted) and a background model (all texts) are
-word bigram models of the same order, the same smoothing and one vocabulary: the
-``VOCABULARY`` most frequent words of the background, all others being one
-unknown word. Counts of the background are scaled to the target's size. A
+word bigram models of the same order, the same smoothing and one vocabulary: all
+words of both. Counts of the background are scaled to the target's size. A
 text's score is its mean loss per token under the target less that under the
 background: the lower, the more it is like the target.
 
     P(w | h) = (c(h, w) + MU * P(w)) / (c(h) + MU),  P(w) = (c(w) + A) / (N + A * V)
 
-Words are counted over all texts, map-side first. Bigram counts are kept in
-``BUCKETS`` hashed counters, a size that does not grow with the input: each task
-hands in its non-empty counters and their sums make the model. Bigrams that fall
-together share a count, in both models alike. Both sizes are parameters.
+Every distinct bigram has a row with its own counts, in a shuffled table that
+grows with the input; the counts of words are sums of it. The loss of each bigram
+is worked out once. The most frequent bigrams (``HEAD`` at most) are sent to all
+tasks; each text's other bigrams are joined to the table. Both ways are exact.
+
+A caller that names ``vocabulary`` or ``n_buckets`` gets the bounded form instead:
+the most frequent words only, all others being one unknown word, and hashed
+counters, in which bigrams that fall together share a count.
 """
 
 from __future__ import annotations
@@ -29,13 +32,18 @@ from pyspark.sql.types import StructField, StructType
 
 from .common import materialize, most_frequent, table
 
+#: Sizes of the bounded form, where a caller names one of the two.
 VOCABULARY = (1 << 16) - 2
-#: Longer words (in bytes) are unknown words.
+#: Longer words (in bytes) are unknown words in the bounded form.
 WORD_BYTES = 64
 BUCKETS = 1 << 20
+#: Bigrams that are sent to all tasks, and the longest of them in bytes; the others are joined.
+HEAD, HEAD_BYTES = 1 << 18, 128
 MU, A = 64.0, 0.5
 #: Distinct words, or tokens, that a task holds before it hands in counts.
 FLUSH_WORDS, FLUSH_TOKENS = 1 << 20, 1 << 20
+#: Distinct bigrams that a task holds before it hands in counts, and rows of bigrams that it hands on at a time.
+FLUSH_PAIRS, FLUSH_ROWS = 1 << 19, 1 << 17
 UNK, START = 0, 1
 
 
@@ -174,8 +182,75 @@ def dense(counts: DataFrame, size: int) -> np.ndarray:
     return out[:size]
 
 
-def fit(background: DataFrame, target: DataFrame, text_col: str = "text", vocabulary: int = VOCABULARY, n_buckets: int = BUCKETS) -> Model:
-    """Both models from all of their texts. What reaches the driver is bounded by the two sizes."""
+@dataclass
+class Exact:
+    """Tables of both models: losses (pair, n in the background, loss), words (word, b, t); totals of the words' counts and V."""
+
+    losses: DataFrame
+    words: DataFrame
+    n_background: int
+    n_target: int
+    size: int
+
+
+def pairs(words: list[bytes]) -> list[bytes]:
+    """The bigrams of a text, as the word before (none at the start), a space and the word."""
+    return list(map(b" ".join, zip([b"", *words], words, strict=False)))
+
+
+def pair_table(background: DataFrame, target: DataFrame, text_col: str) -> DataFrame:
+    """pair, b and t: how often each bigram is in the background and in the target."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: tuple[Counter, Counter] = Counter(), Counter()
+
+        def out(which: int):
+            n, none = pa.array(seen[which].values(), pa.int64()), pa.array(np.zeros(len(seen[which]), np.int64))
+            return pa.record_batch([pa.array(seen[which].keys(), pa.string()), *((none, n) if which else (n, none))], names=["pair", "b", "t"])
+
+        for batch in batches:
+            for text, which in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen[which].update(pairs(tokens(text)))
+                if len(seen[which]) > FLUSH_PAIRS:
+                    yield out(which)
+                    seen[which].clear()
+        yield out(0)
+        yield out(1)
+
+    texts = [docs.select(docs[f"`{text_col}`"].cast("string").alias("t"), F.lit(which).alias("w")) for which, docs in enumerate((background, target))]
+    return texts[0].unionAll(texts[1]).mapInArrow(count, "pair string, b long, t long").groupBy("pair").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+
+
+def with_loss(counted: DataFrame, words: DataFrame, n_background: int, n_target: int, size: int) -> DataFrame:
+    """``counted`` (pair, b, t) with loss: under the target less that under the background, in nats. Words that are not in ``words`` have no counts."""
+    scale = n_target / n_background if n_background and n_target else 1.0
+    split = counted.withColumns({"h": F.substring_index("pair", " ", 1), "w": F.substring_index("pair", " ", -1)})
+    as_history = words.select(F.col("word").alias("h"), F.col("b").alias("bh"), F.col("t").alias("th"))
+    as_word = words.select(F.col("word").alias("w"), F.col("b").alias("bw"), F.col("t").alias("tw"))
+    c = {x: F.coalesce(x, F.lit(0)).cast("double") * (scale if x[0] == "b" else 1.0) for x in ("b", "t", "bh", "th", "bw", "tw")}
+    n = {"b": n_background * scale, "t": float(n_target)}
+    log = {x: F.log((c[x] + MU * (c[f"{x}w"] + A) / (n[x] + A * size)) / (c[f"{x}h"] + MU)) for x in "bt"}
+    return split.join(as_history, "h", "left").join(as_word, "w", "left").withColumn("loss", log["b"] - log["t"])
+
+
+def fit_exact(background: DataFrame, target: DataFrame, text_col: str = "text") -> Exact:
+    """Both models from all of their texts, words and bigrams. Only totals reach the driver."""
+    counted = materialize(pair_table(background, target, text_col), "pairs")
+    sums = [F.sum("b").alias("b"), F.sum("t").alias("t")]
+    # The start counts as the word "", once for each text that has tokens.
+    starts = counted.where("startswith(pair, ' ')").select(F.lit("").alias("word"), "b", "t")
+    words = materialize(counted.select(F.substring_index("pair", " ", -1).alias("word"), "b", "t").union(starts).groupBy("word").agg(*sums), "words")
+    found = words.agg(*sums, F.count_if(F.col("word") != "").alias("v")).first()
+    totals = (found["b"] or 0, found["t"] or 0, found["v"] + 2)
+    losses = with_loss(counted, words, *totals).select("pair", F.col("b").alias("n"), "loss")
+    return Exact(materialize(losses, "losses"), words, *totals)
+
+
+def fit(background: DataFrame, target: DataFrame, text_col: str = "text", vocabulary: int | None = None, n_buckets: int | None = None) -> Model | Exact:
+    """Both models from all of their texts: exact, unless ``vocabulary`` or ``n_buckets`` bounds them and what reaches the driver."""
+    if vocabulary is None and n_buckets is None:
+        return fit_exact(background, target, text_col)
+    vocabulary, n_buckets = VOCABULARY if vocabulary is None else vocabulary, BUCKETS if n_buckets is None else n_buckets
     spark = background.sparkSession
     counted = materialize(word_table(background, text_col), "words")
     top = most_frequent(counted.where(F.octet_length("word") <= WORD_BYTES), "n", vocabulary)
@@ -188,14 +263,70 @@ def fit(background: DataFrame, target: DataFrame, text_col: str = "text", vocabu
     return Model(words, counts[0][:v], counts[1][:v], counts[0][v:], counts[1][v:])
 
 
+def score_exact(docs: DataFrame, model: Exact, text_col: str, keep: list[str], name: str, head: int = HEAD) -> DataFrame:
+    """``score`` by the table of losses. Rows are told apart by position, so rows that repeat each keep their own score."""
+    spark = docs.sparkSession
+    frequent = most_frequent(model.losses.where((F.col("n") > 0) & (F.octet_length("pair") <= HEAD_BYTES)), "n", head)
+    top = frequent.select(F.col("pair").cast("binary").alias("pair"), "loss").toPandas()  # at most ``head`` rows of bounded length
+    shared = spark.sparkContext.broadcast(dict(zip(map(bytes, top["pair"]), top["loss"].tolist(), strict=True)))
+
+    kept = F.struct(F.lit(True).alias("k"), *[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(keep)])
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), kept.alias("kept"), docs[f"`{text_col}`"].cast("string").alias("t"))
+    out = StructType([StructField("row", rows.schema["row"].dataType), StructField("kept", rows.schema["kept"].dataType)]).add("pair", "string").add("n", "long").add("known", "double")
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, name: str = "ce_difference") -> DataFrame:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        losses = shared.value
+        for batch in batches:
+            sizes, sums = [], []
+            rare: tuple[list, list, list] = [], [], []
+
+            def rest():
+                none = len(rare[0])
+                return pa.record_batch([pa.array(rare[0], pa.int64()), pa.nulls(none, batch.schema.field(1).type), pa.array(rare[1], pa.string()), pa.array(rare[2], pa.int64()), pa.nulls(none, pa.float64())], names=out.names)
+
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                found, total = pairs(tokens(text)), 0.0
+                for pair, n in Counter(found).items():
+                    loss = losses.get(pair)
+                    if loss is None:
+                        rare[0].append(row)
+                        rare[1].append(pair)
+                        rare[2].append(n)
+                    else:
+                        total += n * loss
+                sizes.append(len(found))
+                sums.append(total)
+                if len(rare[0]) > FLUSH_ROWS:
+                    yield rest()
+                    rare = [], [], []
+            # A row for each of a text's rare bigrams, and one for each text with what is known.
+            yield rest()
+            yield pa.record_batch([*batch.columns[:2], pa.nulls(len(sums), pa.string()), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=out.names)
+
+    counted = materialize(rows.mapInArrow(tally, out), "tallies")
+    rare = counted.where("pair IS NOT NULL").select("row", "pair", "n")
+    found = rare.join(model.losses.select("pair", "loss"), "pair", "left").groupBy("row").agg(F.sum(F.col("n") * F.col("loss")).alias("more"), F.count_if(F.col("loss").isNull()).alias("unseen"))
+    found = materialize(found, "rare")
+    if not found.where("unseen > 0").isEmpty():
+        # Bigrams of neither model have no count, but their words may have one.
+        new = rare.join(model.losses, "pair", "left_anti")
+        zero = new.select("pair", F.lit(0).alias("b"), F.lit(0).alias("t")).distinct()
+        lost = with_loss(zero, model.words, model.n_background, model.n_target, model.size)
+        found = found.select("row", "more").union(new.join(lost, "pair").select("row", F.col("n") * F.col("loss"))).groupBy("row").agg(F.sum("more").alias("more"))
+    total = F.col("known") + F.coalesce("more", F.lit(0.0))
+    done = counted.where("pair IS NULL").join(found.select("row", "more"), "row", "left")
+    return done.select(*[F.col("kept").getField(f"c{i}").alias(c) for i, c in enumerate(keep)], F.col("n").alias("n_scored"), F.when(F.col("n") > 0, total / F.col("n")).alias(name))
+
+
+def score(docs: DataFrame, model: Model | Exact, text_col: str = "text", keep: list[str] | None = None, name: str = "ce_difference") -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default), n_scored (tokens) and the score; these replace columns of their names.
 
     Null texts and texts without tokens have n_scored 0 and a null score. Texts
     of any length are scored whole. Rows that repeat are kept.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (name, "n_scored")]
+    if isinstance(model, Exact):
+        return score_exact(docs, model, text_col, keep, name)
     apart = text_col not in keep
     rows = docs.select(*[docs[f"`{c}`"] for c in keep], *[docs[f"`{text_col}`"]] * apart)
     at = len(keep) if apart else keep.index(text_col)

@@ -172,6 +172,43 @@ def test_lm_equals_plain(spark, monkeypatch):
     assert lm.score(docs.limit(0), lm.fit(docs.limit(0), target.limit(0))).count() == 0
 
 
+def test_lm_counts_every_bigram(spark, monkeypatch):
+    """More words and bigrams than the bounded form has places for, and texts of neither model."""
+    monkeypatch.setattr(lm, "FLUSH_PAIRS", 50_000)
+    monkeypatch.setattr(lm, "FLUSH_ROWS", 1000)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.05, 3000) % 300_000) for _ in range(200)] + [" ".join(f"u{i}" for i in range(at, at + 50_000)) for at in range(0, 1_000_000, 50_000)] + ["y" * 100 + " z", "dup dup", "dup dup", "", None]
+    new, n_target = ["never w1 w2 seen w1", "w1 never"], 60
+    one, two = ([Counter(), Counter()] for _ in range(2))
+    for i, t in enumerate(texts):
+        e = (t or "").split()
+        for which in range(1 + (i < n_target)):
+            one[which].update(e + [""] * bool(e))
+            two[which].update(zip(["", *e], e, strict=False))
+    assert len(two[0]) > lm.BUCKETS and len(one[0]) > lm.VOCABULARY
+    n, v = [sum(c.values()) for c in one], len(one[0]) + 1
+    f = [n[1] / n[0], 1.0]
+
+    def log(which, h, w):
+        uni = (one[which][w] * f[which] + lm.A) / (n[which] * f[which] + lm.A * v)
+        return math.log((two[which][h, w] * f[which] + lm.MU * uni) / (one[which][h] * f[which] + lm.MU))
+
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], DOCS)
+    scored = docs.where("doc_id < 5 or doc_id >= 219").union(spark.createDataFrame([(1000 + i, t, "x", 1) for i, t in enumerate(new)], DOCS))
+    out = lm.score(scored, lm.fit(docs, docs.where(f"doc_id < {n_target}")))
+    assert out.columns == ["doc_id", "text", "score", "n", "n_scored", "ce_difference"]
+    rows = out.collect()
+    assert len(rows) == scored.count()
+    for r in rows:
+        e = (r["text"] or "").split()
+        assert r["n_scored"] == len(e)
+        if not e:
+            assert r["ce_difference"] is None
+            continue
+        want = sum(log(0, h, w) - log(1, h, w) for h, w in zip(["", *e], e, strict=False)) / len(e)
+        assert r["ce_difference"] == pytest.approx(want, abs=1e-9)
+
+
 def test_lm_separates(spark):
     got = lm.op9_lm(spark, DATA).join(spark.read.parquet(f"{DATA}/labels.parquet"), "doc_id").toPandas().dropna()
     assert got[got["quality"] == 0]["ce_difference"].median() > got[got["quality"] == 1]["ce_difference"].quantile(0.95)
