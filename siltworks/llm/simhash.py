@@ -19,6 +19,9 @@ parts. So no task holds more than about two shares, and no pair is lost.
 A task unites what it links and emits only a spanning forest, never all pairs of
 a group. Components of the remaining links are found by alternately hooking the
 larger neighbours and the smaller neighbours of every node to its minimum.
+
+Fingerprints are op2's. To keep one of each group (``keep_one``), texts are
+compared by their whole sets of five-word shingles instead, and no pair is lost.
 """
 
 from __future__ import annotations
@@ -29,11 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_width, table
+from .common import materialize, most_frequent, shuffle_width, table
 
 BUDGET = 3
 BLOCKS, BLOCK_BITS = 4, 16
 SHINGLE = 3
+#: Likeness of whole texts, for ``classes`` and ``keep_one``: words in a shingle and least Jaccard index.
+WORDS, SIMILARITY = 5, 0.8
+#: Texts looked at for frequent shingles, and how many of these are sent to all tasks, at most.
+SAMPLE_ROWS, COMMON = 20_000, 1 << 16
 #: Shingle hashes whose bits are counted at a time.
 STRIP = 1 << 15
 #: Fingerprints under one block value before it is dealt to cells, at least.
@@ -247,7 +254,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def print_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, fp and component_id of every row: the smallest id reachable over links.
 
     Null texts and texts without words have fingerprint 0, which is linked like
@@ -264,8 +271,132 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return prints.join(names, "fp").select("id", "fp", "component_id")
 
 
+# --- likeness of whole shingle sets -----------------------------------------
+
+
+def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
+    """Ascending distinct hashes of the word shingles of a text; fewer words than a shingle make one of all."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64))
+
+
+def set_print(grams: np.ndarray) -> int:
+    """One signed long for a whole set; 0 for the empty one."""
+    return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes())).view(np.int64)) if len(grams) else 0
+
+
+def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that are frequent among some texts, ascending, and their counts. They only order shingles: results do not depend on them."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], names=["g"])
+
+    texts = docs.select(docs[f"`{text_col}`"].cast("string").alias("t"))
+    some = texts.sample(min(1.0, SAMPLE_ROWS / max(1, texts.count())), 7)
+    counts = some.mapInArrow(run, "g long").groupBy("g").agg(F.count("*").alias("n")).where("n > 2")
+    top = most_frequent(materialize(counts, "common"), "n", COMMON).toPandas()
+    grams, n = top["g"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    by = np.argsort(grams)
+    return grams[by], n[by]
+
+
+def prefix(grams: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """Of n shingles, rare ones first, as many as a match cannot all miss: it keeps ceil(similarity * n) at least."""
+    if not len(grams):
+        return grams
+    rank = np.zeros(len(grams), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+        rank = np.where(common[at] == grams, counts[at], 0)
+    most = len(grams) - int(np.ceil(similarity * len(grams) - 1e-9)) + 1
+    return grams[np.lexsort((grams, rank))[:most]]
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole sets (fp, grams) are alike enough."""
+
+    def run(batches):
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    left, right = sets.select(F.col("fp").alias("a"), F.col("grams").alias("x")), sets.select(F.col("fp").alias("b"), F.col("grams").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def set_links(docs: DataFrame, distinct: DataFrame, text_col: str, similarity: float) -> DataFrame:
+    """Edges (a, b) that connect all distinct sets of ``distinct`` (fp, tk, n, prefix) at or above ``similarity``.
+
+    Two such sets share a shingle of their prefixes. First every set is compared
+    with one set for each shingle, which joins most of a group; then all pairs
+    that are not in one component yet. Pairs in one component add nothing, so a
+    large group is never compared pair by pair.
+    """
+    heads = distinct.select("fp", "tk", "n", F.explode("prefix").alias("g"))
+    seen = heads.groupBy("g").agg(F.count("*").alias("m"), F.min("fp").alias("lead")).where("m > 1").select("g", "lead")
+    shared = materialize(heads.join(seen, "g").select("g", "fp", "tk", "n", "lead"), "shared")
+    needed = shared.select("tk").distinct()
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array([set_print(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["fp", "grams"])
+
+    text = docs[f"`{text_col}`"].cast("string")
+    texts = docs.select(F.xxhash64(text).alias("tk"), text.alias("t")).groupBy("tk").agg(F.min("t").alias("t"))
+    sets = materialize(texts.join(needed, "tk", "left_semi").select("t").mapInArrow(run, "fp long, grams binary"), "sets")
+
+    first = materialize(verified(shared.where("fp <> lead").select(F.col("lead").alias("a"), F.col("fp").alias("b")).distinct(), sets, similarity), "first-links")
+    rooted = shared.join(components(first), "fp", "left").select("g", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    rooted = materialize(rooted, "rooted")
+    # Of two sets apart, one at least is not in the main component of a shingle.
+    main = rooted.groupBy("g", "root").agg(F.count("*").alias("m")).groupBy("g").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("k")).where("k > 1").select("g", "main")
+    split = materialize(rooted.join(main, "g"), "split")
+    x = split.where("root <> main").select("g", F.col("fp").alias("p"), F.col("n").alias("np"), F.col("root").alias("rp"))
+    y = split.select("g", F.col("fp").alias("q"), F.col("n").alias("nq"), F.col("root").alias("rq"))
+    alike = F.least("np", "nq") >= F.greatest("np", "nq") * similarity - 1e-9
+    others = x.join(y, "g").where((F.col("rp") != F.col("rq")) & alike).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    return first.union(verified(others, sets, similarity))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """id, fp and component_id of every row, by the likeness of whole texts: the smallest id reachable over
+    pairs whose sets of five-word shingles have a Jaccard index of ``similarity`` (0.8) at least.
+
+    No pair is lost (prefix filter and exact check). fp names a set of shingles;
+    texts without words are alike. Null ids, rows that repeat and empty tables
+    are as in ``print_classes``.
+    """
+    common, counts = common_shingles(docs, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast((common, counts))
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch.column(2).to_pylist()]
+            heads = [prefix(x, *shared.value, similarity).view(np.int64) for x in sets]
+            yield pa.record_batch([*batch.columns[:2], pa.array([set_print(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(heads, pa.list_(pa.int64()))], names=["id", "tk", "fp", "n", "prefix"])
+
+    text = docs[f"`{text_col}`"].cast("string")
+    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.xxhash64(text).alias("tk"), text.alias("t"))
+    prints = materialize(rows.mapInArrow(run, "id long, tk long, fp long, n long, prefix array<long>"), "set-prints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("least"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct-sets")
+    roots = components(set_links(docs, distinct, text_col, similarity))
+    placed = distinct.select("fp", "least").join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    names = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    return prints.select("id", "fp").join(names, "fp").select("id", "fp", "component_id")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id stands for its component, with the columns of ``docs``.
+    """The rows of ``docs`` whose id stands for its component of ``classes``, with the columns of ``docs``.
 
     Of rows that share that id one is kept, the smallest by text. Rows with a
     null id cannot stand for others and are kept.
@@ -279,5 +410,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = classes(table(spark, sf_dir, "documents"))
+    found = print_classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -101,3 +101,32 @@ def test_edges_of_input(spark):
     assert simhash.classes(spark.createDataFrame([], DOCS)).count() == 0
     kept = simhash.keep_one(spark.createDataFrame(rows, DOCS))
     assert kept.columns == ["doc_id", "text", "fp", "id"] and sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "4", "7", "None"]
+
+
+def test_groups_by_whole_shingle_sets(spark):
+    """Near copies of similarity 0.8 whose fingerprints differ in more than op2's three bits."""
+    rng = np.random.default_rng(5)
+    texts, passage = [], [f"p{i}" for i in range(30)]
+    for c in range(30):
+        base = [f"c{c}w{x}" for x in rng.integers(0, 500, 120)]
+        for k in range(6):
+            words = list(base)
+            for at in rng.choice(120, k, replace=False):
+                words[at] = f"x{rng.integers(1_000_000)}"
+            texts.append(" ".join(words + passage * (c % 3 == 0)))
+    texts += [None, "", " \t", "one two three four", "ONE two  three four", "one two three"]
+    ids = list(range(1000, 1000 + len(texts)))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for t in texts]
+    near = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    up = list(range(len(ids)))
+    missed = 0
+    for i in range(len(ids)):
+        for j in range(i):
+            if near(sets[i], sets[j]):
+                missed += (simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[j])).bit_count() > simhash.BUDGET
+                a, b = up[i], up[j]
+                up = [min(a, b) if x in (a, b) else x for x in up]
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in zip(ids, texts, strict=True)], DOCS)
+    assert missed > 10
+    assert {r["id"]: r["component_id"] for r in simhash.classes(docs).collect()} == {i: ids[x] for i, x in zip(ids, up, strict=True)}
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == sorted({ids[x] for x in up})
