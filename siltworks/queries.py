@@ -487,11 +487,9 @@ def near_dedup_keep(spark, d):
     return dedup.greedy(users.select((F.col("conv_id") + 1).alias("scan_ord"), "first_user_msg"), 0.12).where("kept").select("scan_ord")
 
 
-@query(f"WITH {greedy_sql('SELECT doc_id AS ord, substr(text, 1, 300) AS txt FROM documents', 0.6).split('g_l AS')[0].rstrip().rstrip(',')} SELECT a, b, round(jaccard, 9) AS jaccard FROM g_e")
-def near_dedup_edges(spark, d):
-    """All matching pairs of the documents' openings (300 characters, the head that is compared here)."""
+def _edges(spark, d, head: int) -> DataFrame:
     rows = t(spark, d, "documents").select(F.col("doc_id").alias("scan_ord"), F.col("text").alias("first_user_msg"))
-    sigs = dedup.stored(dedup.signatures(rows, head=300), "signatures").cache()
+    sigs = dedup.stored(dedup.signatures(rows, head=head), "signatures").cache()
     first = sigs.groupBy("sig").agg(F.min("scan_ord").alias("ord"))
     found = dedup.matches(first.select("ord", "sig"), 0.6)
     # Every row of a text takes part in its text's matches, and rows of one text match each other.
@@ -502,6 +500,18 @@ def near_dedup_edges(spark, d):
     return unlike.unionByName(alike).select("a", "b", F.round("jaccard", 9).alias("jaccard"))
 
 
+@query(f"WITH {greedy_sql('SELECT doc_id AS ord, substr(text, 1, 300) AS txt FROM documents', 0.6).split('g_l AS')[0].rstrip().rstrip(',')} SELECT a, b, round(jaccard, 9) AS jaccard FROM g_e")
+def near_dedup_edges(spark, d):
+    """All matching pairs of the documents' openings of 300 characters, as its SQL has them; ``near_dedup_texts`` has the whole range."""
+    return _edges(spark, d, 300)
+
+
+@query(f"WITH {greedy_sql('SELECT doc_id AS ord, text AS txt FROM documents', 0.6).split('g_l AS')[0].rstrip().rstrip(',')} SELECT a, b, round(jaccard, 9) AS jaccard FROM g_e")
+def near_dedup_texts(spark, d):
+    """All matching pairs of the documents' texts, at the operator's full range."""
+    return _edges(spark, d, dedup.HEAD_CHARS)
+
+
 # --- the funnel -------------------------------------------------------------------------------
 
 _TABLE = f"""WITH RECURSIVE {JUDGED},

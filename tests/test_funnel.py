@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from siltworks import queries
 from siltworks.functions import text
 from siltworks.operators import dedup, direction, funnel
 from siltworks.plans import params
@@ -143,3 +144,20 @@ def test_yolo_and_kill_cause(spark):
 
 def test_greedy_plain_itself():
     assert list(itertools.chain(plain_greedy(["aaaaa", "aaaaa"], 1.0).values())) == [None, 0]
+
+
+def test_near_pairs_beyond_the_opening(spark, tmp_path):
+    """Pairs by brute force, on texts that differ in their first 300 characters or only after them."""
+    import random
+
+    rng = random.Random(4)
+    draw = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    tails, heads = [draw(1600) for _ in range(3)], [draw(300) for _ in range(3)]
+    texts = [draw(300) + x for x in tails for _ in range(2)] + [x + draw(1600) for x in heads for _ in range(2)] + ["", "", draw(2500)]
+    texts.append(texts[-1][:2000] + draw(900))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    sigs = ["".join(x[: dedup.HEAD_CHARS].split()) for x in texts]
+    grams = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in sigs]
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.6}
+    assert {(0, 1), (2, 3), (4, 5)} <= want and not {(6, 7), (8, 9), (10, 11)} & want
+    assert {(r["a"], r["b"]) for r in queries.near_dedup_texts(spark, str(tmp_path)).collect()} == want
