@@ -8,43 +8,49 @@ background: the lower, the more it is like the target.
 
     P(w | h) = (c(h, w) + MU * P(w)) / (c(h) + MU),  P(w) = (c(w) + A) / (N + A * V)
 
-Every distinct bigram has a row with its own counts, in a shuffled table that
-grows with the input; the counts of words are sums of it. The loss of each bigram
-is worked out once. The most frequent bigrams (``HEAD`` at most) are sent to all
-tasks; each text's other bigrams are joined to the table. Both ways are exact.
-
-A caller that names ``vocabulary`` or ``n_buckets`` gets the bounded form instead:
-the most frequent words only, all others being one unknown word, and hashed
-counters, in which bigrams that fall together share a count.
+Every word and every bigram has counts of its own; nothing is capped or folded
+together. Words and bigrams are told apart by 64-bit hashes. What is counted
+grows with the input, and moves in packed form:
+
+1. Texts are cut into chunks of about ``CHUNK_TOKENS``. A chunk keeps its distinct
+   words' hashes and each token as a number into them.
+2. A chunk asks for its distinct words and bigrams: ascending hashes, as
+   differences, with the chunk's own counts, a row for each range of hashes. A
+   task adds up one range at a time over all chunks and answers each chunk with
+   the totals in the order in which it asked.
+3. Chunks and answers meet, and a chunk's texts are scored by numpy.
+
+So a bigram is sent once for each chunk, however often or in how many texts it
+occurs, and no key, hot or not, has more rows than there are chunks.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from .common import materialize, most_frequent, table
+from .common import materialize, shuffle_width, table
 
-#: Sizes of the bounded form, where a caller names one of the two.
-VOCABULARY = (1 << 16) - 2
-#: Longer words (in bytes) are unknown words in the bounded form.
-WORD_BYTES = 64
-BUCKETS = 1 << 20
-#: Bigrams that are sent to all tasks, and the longest of them in bytes; the others are joined.
-HEAD, HEAD_BYTES = 1 << 18, 128
 MU, A = 64.0, 0.5
-#: Distinct words, or tokens, that a task holds before it hands in counts.
-FLUSH_WORDS, FLUSH_TOKENS = 1 << 20, 1 << 20
-#: Distinct bigrams that a task holds before it hands in counts, and rows of bigrams that it hands on at a time.
-FLUSH_PAIRS, FLUSH_ROWS = 1 << 19, 1 << 17
-UNK, START = 0, 1
+#: Tokens and rows of a chunk: it is closed once it has as many of either. A text is never cut.
+CHUNK_TOKENS, CHUNK_ROWS = 1 << 20, 1 << 16
+#: Tokens whose words and bigrams share a range of hashes, so about as many are added up at a time.
+RANGE_TOKENS = 1 << 23
+#: The start of a text counts as the word "", once for each text that has tokens.
+START = xxhash.xxh64_intdigest(b"")
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+_ASKED = "chunk long, back int, part int, n int, keys binary, b binary, t binary"
+_SUMMED = f"{_ASKED}, fresh long, n_b long, n_t long"
+_TYPES = {"chunk": pa.int64(), "back": pa.int32(), "part": pa.int32(), "n": pa.int32(), "keys": pa.binary(), "b": pa.binary(), "t": pa.binary(), "fresh": pa.int64(), "n_b": pa.int64(), "n_t": pa.int64()}
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -52,319 +58,301 @@ def tokens(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if text else []
 
 
-class Vocabulary:
-    """Word ids: 0 unknown, 1 the start of a text, then the words."""
+# --- packing ------------------------------------------------------------------
 
-    def __init__(self, words: list[bytes]):
-        self.ids = {w: i for i, w in enumerate(words, 2)}
-        self.size = len(words) + 2
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """START and the ids of the text's tokens."""
-        words = tokens(text)
-        return np.fromiter(map(self.ids.get, words, [UNK] * len(words)) if words else (), np.int64, len(words))
+def planes(x: np.ndarray, width: int | None = None) -> bytes:
+    """Whole numbers of at least zero, all lowest bytes first, then the next; ``width`` bytes of each, as few as hold all by default."""
+    x = np.ascontiguousarray(x, np.uint64)
+    width = width or max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-def buckets(history: np.ndarray, word: np.ndarray, n: int) -> np.ndarray:
-    """Where the count of a bigram is kept."""
-    x = history.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ (x >> np.uint64(29))) % np.uint64(n)).astype(np.int64)
+def unplanes(data: bytes, n: int) -> np.ndarray:
+    """What ``planes`` packed, as unsigned 64-bit integers."""
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, : len(data) // n] = np.frombuffer(data, np.uint8).reshape(-1, n).T
+    return out.view(np.uint64).reshape(-1)
 
 
-def with_history(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of several texts end to end, and the id before each (START at the first of a text)."""
-    word = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-    history = np.empty_like(word)
-    history[1:] = word[:-1]
-    starts = np.cumsum([0, *map(len, ids)])[:-1]
-    history[starts[starts < len(word)]] = START
-    return history, word
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending distinct hashes, one at least: the first, and the differences."""
+    return keys[:1].tobytes() + planes(np.diff(keys))
 
 
-@dataclass
-class Model:
-    """Per-token log-probability differences from two sets of counts."""
+def unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.concatenate([np.frombuffer(data[:8], np.uint64), unplanes(data[8:], n - 1)]), dtype=np.uint64)
+
 
-    words: list[bytes]
-    target_words: np.ndarray
-    background_words: np.ndarray
-    target_pairs: np.ndarray
-    background_pairs: np.ndarray
+# --- chunks -------------------------------------------------------------------
 
-    def prepare(self) -> None:
-        self.vocabulary = Vocabulary(self.words)
-        v = self.vocabulary.size
-        n_t, n_b = self.target_words.sum(), self.background_words.sum()
-        scale = n_t / n_b if n_b and n_t else 1.0
-        self.t, self.b = self.target_words.astype(np.float64), self.background_words * scale
-        self.tp, self.bp = self.target_pairs.astype(np.float64), self.background_pairs * scale
-        self.pt, self.pb = (self.t + A) / (self.t.sum() + A * v), (self.b + A) / (self.b.sum() + A * v)
 
-    def losses(self, history: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Per token: loss under the target less loss under the background, in nats."""
-        at = buckets(history, word, len(self.tp))
-        p = (self.tp[at] + MU * self.pt[word]) / (self.t[history] + MU)
-        q = (self.bp[at] + MU * self.pb[word]) / (self.b[history] + MU)
-        return np.log(q) - np.log(p)
+class _Numbers(dict):
+    """Numbers words through as they come."""
 
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
-def word_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """word (binary) and n over all texts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+def coded(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """A row for each chunk of ``docs``: chunk, back (a number that deals chunks out evenly) and its packed texts.
+
+    n: tokens; ids: the words' numbers; words: the hashes of those; sizes: tokens
+    of each text. The columns ``keep`` of a chunk's rows are in kept, by position.
+    """
+    kept = F.struct(F.lit(True).alias("k"), *[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(keep)])
+    rows = docs.select(kept.alias("kept"), docs[f"`{text_col}`"].cast("string").alias("t"))
+    schema = StructType().add("chunk", "long").add("back", "integer").add("n", "long").add("ids", "binary").add("words", "binary").add("sizes", "binary")
+    schema.add(StructField("kept", ArrayType(rows.schema["kept"].dataType)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
+        numbers, held, sizes, kept, total = _Numbers({b"": 0}), [], [], [], 0
 
-        def out():
-            return pa.record_batch([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], names=["word", "n"])
+        def out() -> pa.RecordBatch:
+            words = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
+            numbered, structs = (pa.array([x], t) for x, t in (((task << 32) | made, pa.int64()), (task + made, pa.int32()), (total, pa.int64()))), pa.concat_arrays(kept)
+            packed = (pa.array([x], pa.binary()) for x in (planes(np.concatenate(held)), words.tobytes(), np.array(sizes, np.int32).tobytes()))
+            return pa.record_batch([*numbered, *packed, pa.ListArray.from_arrays(pa.array([0, len(structs)], pa.int32()), structs)], names=schema.names)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(tokens(text))
-                if len(seen) > FLUSH_WORDS:
+            begun = 0
+            for at, text in enumerate(batch.column(1).to_pylist(), 1):
+                words = tokens(text)
+                held.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                sizes.append(len(words))
+                total += len(words)
+                if total >= CHUNK_TOKENS or len(sizes) >= CHUNK_ROWS:
+                    kept.append(batch.column(0).slice(begun, at - begun))
                     yield out()
-                    seen.clear()
-        yield out()
+                    begun, made = at, made + 1
+                    numbers, held, sizes, kept, total = _Numbers({b"": 0}), [], [], [], 0
+            if begun < batch.num_rows:
+                kept.append(batch.column(0).slice(begun))
+        if sizes:
+            yield out()
 
-    return docs.select(docs[f"`{text_col}`"].cast("string").alias("t")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, schema)
 
 
-def count_table(docs: DataFrame, text_col: str, words, n_buckets: int) -> DataFrame:
-    """place and n: counts of words at 0 .. V-1 (START: texts), of hashed bigrams after them. ``words``: a broadcast list."""
+@dataclass
+class Chunk:
+    """Distinct words and bigrams of a chunk. ``keys``: ascending hashes of the words, then bigrams, put in ``order``."""
+
+    word: np.ndarray
+    bigram: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    size: np.ndarray
+    keys: np.ndarray
+    order: np.ndarray
+    n_words: int
+
+    @classmethod
+    def of(cls, row: dict) -> Chunk:
+        word, known, size = unplanes(row["ids"], row["n"]).astype(np.int64), np.frombuffer(row["words"], np.uint64), np.frombuffer(row["sizes"], np.int32).astype(np.int64)
+        history = np.empty_like(word)
+        history[1:] = word[:-1]
+        starts = (np.cumsum(size) - size)[size > 0]
+        history[starts] = 0
+        pair, bigram = np.unique(history * len(known) + word, return_inverse=True)
+        first, second = pair // len(known), pair % len(known)
+        x = (known[first] + _MIX) * np.uint64(0xBF58476D1CE4E5B9)
+        x = ((x ^ (x >> np.uint64(31))) + known[second]) * np.uint64(0x94D049BB133111EB)
+        x = (x ^ (x >> np.uint64(29))) * _MIX
+        # The lowest bit tells words from bigrams.
+        keys = np.concatenate([known | np.uint64(1), (x ^ (x >> np.uint64(32))) & ~np.uint64(1)])
+        order = np.argsort(keys, kind="stable")
+        return cls(word, bigram, first, second, size, keys[order], order, len(known))
+
+    def counts(self, on: np.ndarray) -> np.ndarray:
+        """How often each key occurs in the chunk's texts that are ``on``."""
+        each = np.repeat(on, self.size).astype(np.float64)
+        words = np.bincount(self.word, each, self.n_words)
+        words[0] = (on & (self.size > 0)).sum()
+        return np.concatenate([words, np.bincount(self.bigram, each, len(self.first))])[self.order].astype(np.uint64)
+
+
+def asked(chunks: DataFrame, parts: int) -> DataFrame:
+    """Rows of _ASKED: what each chunk wants to know, by range of hashes, and what it counts itself.
+
+    ``chunks`` has in_b (whether its texts count in the background) and in_t (an
+    array of the positions of those that count in the target; null: all).
+    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(words.value)
-        v = vocabulary.size
-        held: list[np.ndarray] = []
-        size = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = Chunk.of(row)
+                of_target = np.ones(len(chunk.size), bool) if row["in_t"] is None else np.isin(np.arange(len(chunk.size)), row["in_t"])
+                b, t = chunk.counts(np.full(len(chunk.size), row["in_b"])), chunk.counts(of_target)
+                keys, at = np.unique(chunk.keys, return_index=True)  # of equal hashes one is sent
+                b, t = np.add.reduceat(b, at), np.add.reduceat(t, at)
+                part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+                spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], strict=True))
+                sent = [[packed_keys(keys[i:j]) for i, j in spans], [planes(b[i:j]) for i, j in spans], [planes(t[i:j]) for i, j in spans]]
+                numbers = [np.full(len(spans), row["chunk"]), np.full(len(spans), row["back"], np.int32), part[cuts].astype(np.int32), np.array([j - i for i, j in spans], np.int32)]
+                yield pa.record_batch([*map(pa.array, numbers), *(pa.array(x, pa.binary()) for x in sent)], names=list(_TYPES)[:7])
+
+    return chunks.select("chunk", "back", "n", "ids", "words", "sizes", "in_b", "in_t").mapInArrow(run, _ASKED)
+
+
+def summed(rows: DataFrame, parts: int, answer: bool) -> DataFrame:
+    """Totals of each hash over all ``rows`` (of _ASKED): back to each chunk if ``answer``, else a row for each range.
+
+    fresh (the words that a range has in either model), n_b and n_t (the tokens
+    and starts of each model) are on one row of a range.
+    """
 
-        def out():
-            history, word = with_history(held)
-            n = np.bincount(word, minlength=v)
-            n[START] += sum(1 for x in held if len(x))
-            n = np.concatenate([n, np.bincount(buckets(history, word, n_buckets), minlength=n_buckets)])
-            place = np.flatnonzero(n)
-            return pa.record_batch([pa.array(place.astype(np.int32)), pa.array(n[place])], names=["place", "n"])
+    def add(held: list[dict]) -> pa.RecordBatch:
+        keys, place = np.unique(np.concatenate([unpacked_keys(r["keys"], r["n"]) for r in held]), return_inverse=True)
+        b, t = (np.bincount(place, np.concatenate([unplanes(r[x], r["n"]) for r in held]).astype(np.float64), len(keys)).astype(np.uint64) for x in "bt")
+        word = keys & np.uint64(1) > 0
+        noted = {"fresh": int((word & (keys != np.uint64(START | 1)) & (b + t > 0)).sum()), "n_b": int(b[word].sum()), "n_t": int(t[word].sum())}
+        if not answer:
+            out = [{"chunk": -1, "back": held[0]["part"], "part": held[0]["part"], "n": len(keys), "keys": packed_keys(keys), "b": planes(b), "t": planes(t), **noted}]
+        else:
+            ends, out = np.cumsum([r["n"] for r in held]).tolist(), []
+            for r, end in zip(held, ends, strict=True):
+                if r["chunk"] >= 0:
+                    mine = place[end - r["n"] : end]
+                    out.append({"chunk": r["chunk"], "back": r["back"], "part": r["part"], "n": r["n"], "b": planes(b[mine]), "t": planes(t[mine]), **(noted if not out else {})})
+        return pa.record_batch([pa.array([r.get(x) for r in out], _TYPES[x]) for x in _TYPES], names=list(_TYPES))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                held.append(vocabulary.encode(text))
-                size += len(held[-1])
-                if size > FLUSH_TOKENS:
-                    yield out()
-                    held, size = [], 0
-        yield out()
+            for row in batch.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield add(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield add(held)
 
-    return docs.select(docs[f"`{text_col}`"].cast("string").alias("t")).mapInArrow(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    width = min(parts, shuffle_width(rows.sparkSession))
+    return rows.repartitionById(width, F.col("part")).sortWithinPartitions("part", "chunk").mapInArrow(run, _SUMMED)
 
 
-#: Counters in one packed row.
-BLOCK = 1 << 16
+def parts_for(chunks: DataFrame) -> int:
+    """Ranges of hashes for the tokens of ``chunks``; as many as there are tasks at least."""
+    return max(shuffle_width(chunks.sparkSession), -(-(chunks.agg(F.sum("n")).first()[0] or 0) // RANGE_TOKENS))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of whole blocks of places as dense arrays, a row each."""
-    blocks: dict[int, np.ndarray] = {}
-    for batch in batches:
-        place, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for block in np.unique(place // BLOCK).tolist():
-            mine = place // BLOCK == block
-            blocks.setdefault(block, np.zeros(BLOCK, np.int64))[place[mine] % BLOCK] += n[mine]
-    yield pa.record_batch([pa.array(list(blocks), pa.int32()), pa.array([x.tobytes() for x in blocks.values()], pa.binary())], names=["block", "data"])
+def totals(counts: DataFrame) -> tuple[int, int, int]:
+    """Of rows of _SUMMED: tokens and starts in the background and in the target, and the words of either with two more."""
+    found = counts.agg(F.sum("n_b"), F.sum("n_t"), F.sum("fresh")).first()
+    return tuple(x or 0 for x in found[:2]) + ((found[2] or 0) + 2,)
 
 
-def dense(counts: DataFrame, size: int) -> np.ndarray:
-    """``counts`` (place, n) as one array of ``size``; it reaches the driver as a few packed rows."""
-    out = np.zeros(-(-size // BLOCK) * BLOCK, np.int64)
-    for block, data in counts.repartition(F.expr(f"place div {BLOCK}")).mapInArrow(_packed, "block int, data binary").collect():
-        out[block * BLOCK : (block + 1) * BLOCK] = np.frombuffer(data, np.int64)
-    return out[:size]
+# --- models and scores --------------------------------------------------------
 
 
 @dataclass
-class Exact:
-    """Tables of both models: losses (pair, n in the background, loss), words (word, b, t); totals of the words' counts and V."""
+class Model:
+    """Counts of both models: ``counts`` (rows of _SUMMED, one for each of ``parts`` ranges), their totals, and the size of the vocabulary."""
 
-    losses: DataFrame
-    words: DataFrame
+    counts: DataFrame
+    parts: int
     n_background: int
     n_target: int
     size: int
 
 
-def pairs(words: list[bytes]) -> list[bytes]:
-    """The bigrams of a text, as the word before (none at the start), a space and the word."""
-    return list(map(b" ".join, zip([b"", *words], words, strict=False)))
-
-
-def pair_table(background: DataFrame, target: DataFrame, text_col: str) -> DataFrame:
-    """pair, b and t: how often each bigram is in the background and in the target."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[Counter, Counter] = Counter(), Counter()
-
-        def out(which: int):
-            n, none = pa.array(seen[which].values(), pa.int64()), pa.array(np.zeros(len(seen[which]), np.int64))
-            return pa.record_batch([pa.array(seen[which].keys(), pa.string()), *((none, n) if which else (n, none))], names=["pair", "b", "t"])
+def fit(background: DataFrame, target: DataFrame, text_col: str = "text") -> Model:
+    """Both models from all of their texts, all words and bigrams. Only totals reach the driver. Null texts count as empty."""
+    nowhere, everywhere = F.array().cast("array<int>"), F.lit(None).cast("array<int>")
+    sides = [coded(docs, text_col, []).withColumns({"in_b": F.lit(in_b), "in_t": in_t}) for docs, in_b, in_t in ((background, True, nowhere), (target, False, everywhere))]
+    chunks = materialize(sides[0].unionByName(sides[1]), "chunks")
+    parts = parts_for(chunks)
+    counts = materialize(summed(asked(chunks, parts), parts, answer=False), "counts")
+    return Model(counts, parts, *totals(counts))
 
-        for batch in batches:
-            for text, which in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[which].update(pairs(tokens(text)))
-                if len(seen[which]) > FLUSH_PAIRS:
-                    yield out(which)
-                    seen[which].clear()
-        yield out(0)
-        yield out(1)
 
-    texts = [docs.select(docs[f"`{text_col}`"].cast("string").alias("t"), F.lit(which).alias("w")) for which, docs in enumerate((background, target))]
-    return texts[0].unionAll(texts[1]).mapInArrow(count, "pair string, b long, t long").groupBy("pair").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+def marked(chunks: DataFrame, id_at: int, target_ids: DataFrame) -> DataFrame:
+    """``chunks`` with in_t: the positions of the texts whose id (field c<id_at> of kept) is in ``target_ids``. Only ids are joined."""
+    ids = chunks.select("chunk", F.posexplode(F.transform("kept", lambda x: x[f"c{id_at}"]))).where(F.col("col").isNotNull())
+    wanted = target_ids.select(target_ids[f"`{target_ids.columns[0]}`"].alias("wanted")).where(F.col("wanted").isNotNull()).distinct()
+    found = ids.join(wanted, ids["col"] == wanted["wanted"], "left_semi").groupBy("chunk").agg(F.collect_list("pos").alias("in_t"))  # at most a chunk's rows
+    return chunks.join(found, "chunk", "left").withColumn("in_t", F.coalesce("in_t", F.array().cast("array<int>")))
 
 
-def with_loss(counted: DataFrame, words: DataFrame, n_background: int, n_target: int, size: int) -> DataFrame:
-    """``counted`` (pair, b, t) with loss: under the target less that under the background, in nats. Words that are not in ``words`` have no counts."""
+def scored(chunks: DataFrame, answers: DataFrame, n_background: int, n_target: int, size: int, names: list[str], schema: StructType) -> DataFrame:
+    """A row of ``schema`` for each text of ``chunks``, whose answers are all there. ``names``: the fields of kept that come first."""
     scale = n_target / n_background if n_background and n_target else 1.0
-    split = counted.withColumns({"h": F.substring_index("pair", " ", 1), "w": F.substring_index("pair", " ", -1)})
-    as_history = words.select(F.col("word").alias("h"), F.col("b").alias("bh"), F.col("t").alias("th"))
-    as_word = words.select(F.col("word").alias("w"), F.col("b").alias("bw"), F.col("t").alias("tw"))
-    c = {x: F.coalesce(x, F.lit(0)).cast("double") * (scale if x[0] == "b" else 1.0) for x in ("b", "t", "bh", "th", "bw", "tw")}
-    n = {"b": n_background * scale, "t": float(n_target)}
-    log = {x: F.log((c[x] + MU * (c[f"{x}w"] + A) / (n[x] + A * size)) / (c[f"{x}h"] + MU)) for x in "bt"}
-    return split.join(as_history, "h", "left").join(as_word, "w", "left").withColumn("loss", log["b"] - log["t"])
-
-
-def fit_exact(background: DataFrame, target: DataFrame, text_col: str = "text") -> Exact:
-    """Both models from all of their texts, words and bigrams. Only totals reach the driver."""
-    counted = materialize(pair_table(background, target, text_col), "pairs")
-    sums = [F.sum("b").alias("b"), F.sum("t").alias("t")]
-    # The start counts as the word "", once for each text that has tokens.
-    starts = counted.where("startswith(pair, ' ')").select(F.lit("").alias("word"), "b", "t")
-    words = materialize(counted.select(F.substring_index("pair", " ", -1).alias("word"), "b", "t").union(starts).groupBy("word").agg(*sums), "words")
-    found = words.agg(*sums, F.count_if(F.col("word") != "").alias("v")).first()
-    totals = (found["b"] or 0, found["t"] or 0, found["v"] + 2)
-    losses = with_loss(counted, words, *totals).select("pair", F.col("b").alias("n"), "loss")
-    return Exact(materialize(losses, "losses"), words, *totals)
-
-
-def fit(background: DataFrame, target: DataFrame, text_col: str = "text", vocabulary: int | None = None, n_buckets: int | None = None) -> Model | Exact:
-    """Both models from all of their texts: exact, unless ``vocabulary`` or ``n_buckets`` bounds them and what reaches the driver."""
-    if vocabulary is None and n_buckets is None:
-        return fit_exact(background, target, text_col)
-    vocabulary, n_buckets = VOCABULARY if vocabulary is None else vocabulary, BUCKETS if n_buckets is None else n_buckets
-    spark = background.sparkSession
-    counted = materialize(word_table(background, text_col), "words")
-    top = most_frequent(counted.where(F.octet_length("word") <= WORD_BYTES), "n", vocabulary)
-    words = sorted(bytes(w) for w in top.select("word").toPandas()["word"])
-    shared = spark.sparkContext.broadcast(words)
-    v = len(words) + 2
-    counts = []
-    for docs in (target, background):
-        counts.append(dense(count_table(docs, text_col, shared, n_buckets), v + n_buckets))
-    return Model(words, counts[0][:v], counts[1][:v], counts[0][v:], counts[1][v:])
-
-
-def score_exact(docs: DataFrame, model: Exact, text_col: str, keep: list[str], name: str, head: int = HEAD) -> DataFrame:
-    """``score`` by the table of losses. Rows are told apart by position, so rows that repeat each keep their own score."""
-    spark = docs.sparkSession
-    frequent = most_frequent(model.losses.where((F.col("n") > 0) & (F.octet_length("pair") <= HEAD_BYTES)), "n", head)
-    top = frequent.select(F.col("pair").cast("binary").alias("pair"), "loss").toPandas()  # at most ``head`` rows of bounded length
-    shared = spark.sparkContext.broadcast(dict(zip(map(bytes, top["pair"]), top["loss"].tolist(), strict=True)))
 
-    kept = F.struct(F.lit(True).alias("k"), *[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(keep)])
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), kept.alias("kept"), docs[f"`{text_col}`"].cast("string").alias("t"))
-    out = StructType([StructField("row", rows.schema["row"].dataType), StructField("kept", rows.schema["kept"].dataType)]).add("pair", "string").add("n", "long").add("known", "double")
+    def losses(chunk: Chunk, counted: np.ndarray, n: float, by: float) -> np.ndarray:
+        c = np.empty(len(chunk.keys))
+        c[chunk.order] = counted * by
+        words, pairs = c[: chunk.n_words], c[chunk.n_words :]
+        return np.log((pairs + MU * (words[chunk.second] + A) / (n + A * size)) / (words[chunk.first] + MU))
+
+    def out(head: dict, kept: pa.Array, answers: list[dict]) -> pa.RecordBatch:
+        chunk = Chunk.of(head)
+        keys, which = np.unique(chunk.keys, return_inverse=True)
+        if sum(r["m"] for r in answers) != len(keys):
+            raise RuntimeError(f"chunk {head['chunk']} lacks answers")
+        b, t = (np.concatenate([unplanes(r[x], r["m"]) for r in answers])[which].astype(np.float64) for x in "bt")
+        loss = (losses(chunk, b, n_background * scale, scale) - losses(chunk, t, float(n_target), 1.0))[chunk.bigram]
+        text = np.repeat(np.arange(len(chunk.size)), chunk.size)
+        mean = np.bincount(text, loss, len(chunk.size)) / np.maximum(chunk.size, 1)
+        return pa.record_batch([*(kept.field(x) for x in names), pa.array(chunk.size, pa.int64()), pa.array(mean, pa.float64(), mask=chunk.size == 0)], names=schema.names)
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        losses = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, kept, held = None, None, []
         for batch in batches:
-            sizes, sums = [], []
-            rare: tuple[list, list, list] = [], [], []
-
-            def rest():
-                none = len(rare[0])
-                return pa.record_batch([pa.array(rare[0], pa.int64()), pa.nulls(none, batch.schema.field(1).type), pa.array(rare[1], pa.string()), pa.array(rare[2], pa.int64()), pa.nulls(none, pa.float64())], names=out.names)
-
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                found, total = pairs(tokens(text)), 0.0
-                for pair, n in Counter(found).items():
-                    loss = losses.get(pair)
-                    if loss is None:
-                        rare[0].append(row)
-                        rare[1].append(pair)
-                        rare[2].append(n)
-                    else:
-                        total += n * loss
-                sizes.append(len(found))
-                sums.append(total)
-                if len(rare[0]) > FLUSH_ROWS:
-                    yield rest()
-                    rare = [], [], []
-            # A row for each of a text's rare bigrams, and one for each text with what is known.
-            yield rest()
-            yield pa.record_batch([*batch.columns[:2], pa.nulls(len(sums), pa.string()), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=out.names)
-
-    counted = materialize(rows.mapInArrow(tally, out), "tallies")
-    rare = counted.where("pair IS NOT NULL").select("row", "pair", "n")
-    found = rare.join(model.losses.select("pair", "loss"), "pair", "left").groupBy("row").agg(F.sum(F.col("n") * F.col("loss")).alias("more"), F.count_if(F.col("loss").isNull()).alias("unseen"))
-    found = materialize(found, "rare")
-    if not found.where("unseen > 0").isEmpty():
-        # Bigrams of neither model have no count, but their words may have one.
-        new = rare.join(model.losses, "pair", "left_anti")
-        zero = new.select("pair", F.lit(0).alias("b"), F.lit(0).alias("t")).distinct()
-        lost = with_loss(zero, model.words, model.n_background, model.n_target, model.size)
-        found = found.select("row", "more").union(new.join(lost, "pair").select("row", F.col("n") * F.col("loss"))).groupBy("row").agg(F.sum("more").alias("more"))
-    total = F.col("known") + F.coalesce("more", F.lit(0.0))
-    done = counted.where("pair IS NULL").join(found.select("row", "more"), "row", "left")
-    return done.select(*[F.col("kept").getField(f"c{i}").alias(c) for i, c in enumerate(keep)], F.col("n").alias("n_scored"), F.when(F.col("n") > 0, total / F.col("n")).alias(name))
-
-
-def score(docs: DataFrame, model: Model | Exact, text_col: str = "text", keep: list[str] | None = None, name: str = "ce_difference") -> DataFrame:
+            lists = batch.column("kept")
+            for at, row in enumerate(batch.select([x for x in batch.schema.names if x != "kept"]).to_pylist()):
+                if row["part"] >= 0:
+                    held.append(row)
+                    continue
+                if head is not None:
+                    yield out(head, kept, held)
+                head, kept, held = row, lists.slice(at, 1).flatten(), []
+        if head is not None:
+            yield out(head, kept, held)
+
+    nothing = lambda like, names: [F.lit(None).cast(like.schema[c].dataType).alias(c) for c in names]
+    texts, counts = ["n", "ids", "words", "sizes", "kept"], ["m", "b", "t"]
+    answers = answers.select("chunk", "back", "part", F.col("n").alias("m"), "b", "t")
+    heads = chunks.select("chunk", "back", F.lit(-1).alias("part"), *texts, *nothing(answers, counts))
+    both = heads.unionByName(answers.select("chunk", "back", "part", *nothing(chunks, texts), *counts))
+    return both.repartitionById(shuffle_width(chunks.sparkSession), F.col("back")).sortWithinPartitions("chunk", "part").mapInArrow(run, schema)
+
+
+def score(docs: DataFrame, model: Model | None = None, text_col: str = "text", keep: list[str] | None = None, name: str = "ce_difference", target_ids: DataFrame | None = None, id_col: str = "doc_id") -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default), n_scored (tokens) and the score; these replace columns of their names.
 
+    With ``model``, texts are scored under it. With ``target_ids`` (a column of
+    ids), ``docs`` are themselves the background, and those whose ``id_col`` is
+    named there are the target too: all is counted and scored together. Null ids
+    name no text; ids that repeat name every row that has them.
+
     Null texts and texts without tokens have n_scored 0 and a null score. Texts
-    of any length are scored whole. Rows that repeat are kept.
+    of any length are scored whole; a chunk's texts must fit a task. Rows that
+    repeat are kept. Of an empty table the result is empty.
     """
+    if (model is None) == (target_ids is None):
+        raise ValueError("give either a model or the ids of the target")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (name, "n_scored")]
-    if isinstance(model, Exact):
-        return score_exact(docs, model, text_col, keep, name)
-    apart = text_col not in keep
-    rows = docs.select(*[docs[f"`{c}`"] for c in keep], *[docs[f"`{text_col}`"]] * apart)
-    at = len(keep) if apart else keep.index(text_col)
-    out = StructType([StructField(f.name, f.dataType) for f in rows.schema.fields[: len(keep)]]).add("n_scored", "long").add(name, "double")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = shared.value
-        if not hasattr(ready, "vocabulary"):
-            ready.prepare()
-        for batch in batches:
-            n, means, held, size = [], [], [], 0
-
-            def flush():
-                history, word = with_history(held)
-                sizes = np.array([len(x) for x in held], np.int64)
-                ends = np.concatenate([[0.0], np.cumsum(ready.losses(history, word))])
-                at_end = np.cumsum(sizes)
-                totals = ends[at_end] - ends[at_end - sizes]
-                n.extend(sizes.tolist())
-                means.extend((float(t / s) if s else None) for t, s in zip(totals, sizes, strict=True))
-
-            for text in batch.column(at).to_pylist():
-                held.append(ready.vocabulary.encode(text))
-                size += len(held[-1])
-                if size > FLUSH_TOKENS:
-                    flush()
-                    held, size = [], 0
-            if held:
-                flush()
-            yield pa.record_batch([*batch.columns[: len(keep)], pa.array(n, pa.int64()), pa.array(means, pa.float64())], names=out.names)
-
-    return rows.mapInArrow(run, out)
+    schema = StructType([StructField(c, docs.schema[c].dataType) for c in keep]).add("n_scored", "long").add(name, "double")
+    inputs = keep if model is not None or id_col in keep else [*keep, id_col]
+    chunks = materialize(coded(docs, text_col, inputs), "chunks")
+    if model is None:
+        parts = parts_for(chunks)
+        rows = asked(marked(chunks, inputs.index(id_col), target_ids).withColumn("in_b", F.lit(True)), parts)
+    else:
+        parts = model.parts
+        rows = asked(chunks.withColumns({"in_b": F.lit(False), "in_t": F.array().cast("array<int>")}), parts).unionByName(model.counts.select("chunk", "back", "part", "n", "keys", "b", "t"))
+    answers = materialize(summed(rows, parts, answer=True), "answers")
+    known = totals(answers) if model is None else (model.n_background, model.n_target, model.size)
+    return scored(chunks, answers, *known, [f"c{i}" for i in range(len(keep))], schema)
 
 
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents labelled of good quality. Background: all documents."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    model = fit(docs, docs.join(good, "doc_id", "left_semi"))
-    return score(docs, model, keep=["doc_id"])
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return score(table(spark, sf_dir, "documents"), keep=["doc_id"], target_ids=good)

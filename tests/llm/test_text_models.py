@@ -129,84 +129,66 @@ def test_quality_edges(spark):
     assert 0 <= quality.classify(docs, quality.fit(none)).first()["quality_score"] <= 1
 
 
-def plain_scores(texts, target, words, n_buckets):
-    """The model of lm.py with dictionaries."""
-    ids = {w: i for i, w in enumerate(words, 2)}
-    encode = lambda t: [ids.get(w, 0) for w in (t or "").encode().split()]
-
-    def counts(docs):
-        one, two = Counter(), Counter()
+def plain_scores(texts, target, scored):
+    """The two models of lm.py with dictionaries: of each text that is scored, its tokens and its score."""
+    one, two = ([Counter(), Counter()] for _ in range(2))
+    for which, docs in enumerate((texts, target)):
         for t in docs:
-            e = encode(t)
-            one.update(e)
-            one[1] += bool(e)
-            two.update(int(lm.buckets(np.array([a]), np.array([b]), n_buckets)[0]) for a, b in zip([1, *e], e, strict=False))
-        return one, two
+            e = (t or "").split()
+            one[which].update(e + [""] * bool(e))
+            two[which].update(zip(["", *e], e, strict=False))
+    n, v = [sum(c.values()) for c in one], len((one[0] | one[1]).keys() - {""}) + 2
+    f = [n[1] / n[0] if n[0] and n[1] else 1.0, 1.0]
+
+    def log(which, h, w):
+        uni = (one[which][w] * f[which] + lm.A) / (n[which] * f[which] + lm.A * v)
+        return math.log((two[which][h, w] * f[which] + lm.MU * uni) / (one[which][h] * f[which] + lm.MU))
 
-    (t1, t2), (b1, b2), v = counts(target), counts(texts), len(words) + 2
-    scale = sum(t1.values()) / sum(b1.values())
+    for t in scored:
+        e = (t or "").split()
+        yield len(e), sum(log(0, h, w) - log(1, h, w) for h, w in zip(["", *e], e, strict=False)) / len(e) if e else None
 
-    def p(one, two, f, h, w):
-        uni = (one[w] * f + lm.A) / (sum(one.values()) * f + lm.A * v)
-        at = int(lm.buckets(np.array([h]), np.array([w]), n_buckets)[0])
-        return (two[at] * f + lm.MU * uni) / (one[h] * f + lm.MU)
 
-    out = []
-    for t in texts:
-        e = encode(t)
-        d = [math.log(p(b1, b2, scale, h, w)) - math.log(p(t1, t2, 1.0, h, w)) for h, w in zip([1, *e], e, strict=False)]
-        out.append(sum(d) / len(d) if d else None)
-    return out
+def agree(got, want):
+    for (n, score), (m, wanted) in zip(got, want, strict=True):
+        assert n == m and (score is None if wanted is None else score == pytest.approx(wanted, abs=1e-9))
 
 
 def test_lm_equals_plain(spark, monkeypatch):
-    monkeypatch.setattr(lm, "FLUSH_TOKENS", 7)
-    texts = ["the cat sat on the mat", "the dog sat", None, "", "cat dog cat dog zebra", "the the the", "  ", "rare words here"]
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 7)
+    texts = ["the cat sat on the mat", "the dog sat", None, "", "cat dog cat dog zebra", "the the the", "  ", "rare words here", "the dog sat"]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], DOCS)
-    target = docs.where("doc_id < 2")
-    model = lm.fit(docs, target, vocabulary=6, n_buckets=64)
-    got = {r["doc_id"]: (r["n_scored"], r["ce_difference"]) for r in lm.score(docs, model).collect()}
-    want = plain_scores(texts, texts[:2], model.words, 64)
-    for i, w in enumerate(want):
-        assert (got[i] == (0, None)) if w is None else got[i][1] == pytest.approx(w, abs=1e-9)
-    assert lm.score(docs.limit(0), lm.fit(docs.limit(0), target.limit(0))).count() == 0
+    target, extra = docs.where("doc_id < 2"), spark.createDataFrame([(None, "the new dog", "x", 1), (0, "cat", "x", 1)], DOCS)
+    for out in (lm.score(docs, lm.fit(docs, target)), lm.score(docs, target_ids=spark.createDataFrame([(0,), (1,), (1,), (None,), (99,)], "id long"))):
+        assert out.columns == ["doc_id", "text", "score", "n", "n_scored", "ce_difference"]
+        agree([(r["n_scored"], r["ce_difference"]) for r in out.orderBy("doc_id").collect()], plain_scores(texts, texts[:2], texts))
+    # Ids that repeat or are null, a narrow choice of columns, columns of the names that are added.
+    more = docs.unionByName(extra).withColumnsRenamed({"score": "ce_difference", "n": "n_scored"})
+    out = lm.score(more, keep=["text", "n_scored"], target_ids=target.select("doc_id"))
+    assert out.columns == ["text", "n_scored", "ce_difference"]
+    order = lambda rows: sorted(rows, key=lambda r: (r[0] or "", r[0] is None))
+    all_texts = [*texts, "the new dog", "cat"]
+    want = order(zip(all_texts, plain_scores(all_texts, [*texts[:2], "cat"], all_texts), strict=True))
+    agree([r[1:] for r in order(map(tuple, out.collect()))], [w for _, w in want])
+    none = docs.limit(0)
+    assert lm.score(none, lm.fit(none, none)).count() == 0 and lm.score(none, target_ids=target.select("doc_id")).count() == 0
+    agree([(r["n_scored"], r["ce_difference"]) for r in lm.score(docs, lm.fit(none, none)).orderBy("doc_id").collect()], plain_scores([], [], texts))
 
 
 def test_lm_counts_every_bigram(spark, monkeypatch):
-    """More words and bigrams than the bounded form has places for, and texts of neither model."""
-    monkeypatch.setattr(lm, "FLUSH_PAIRS", 50_000)
-    monkeypatch.setattr(lm, "FLUSH_ROWS", 1000)
+    """Over a million bigrams in chunks and ranges that are small, and texts of neither model."""
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", 60_000)
+    monkeypatch.setattr(lm, "RANGE_TOKENS", 1 << 16)
     rng = np.random.default_rng(3)
     texts = [" ".join(f"w{x}" for x in rng.zipf(1.05, 3000) % 300_000) for _ in range(200)] + [" ".join(f"u{i}" for i in range(at, at + 50_000)) for at in range(0, 1_000_000, 50_000)] + ["y" * 100 + " z", "dup dup", "dup dup", "", None]
     new, n_target = ["never w1 w2 seen w1", "w1 never"], 60
-    one, two = ([Counter(), Counter()] for _ in range(2))
-    for i, t in enumerate(texts):
-        e = (t or "").split()
-        for which in range(1 + (i < n_target)):
-            one[which].update(e + [""] * bool(e))
-            two[which].update(zip(["", *e], e, strict=False))
-    assert len(two[0]) > lm.BUCKETS and len(one[0]) > lm.VOCABULARY
-    n, v = [sum(c.values()) for c in one], len(one[0]) + 1
-    f = [n[1] / n[0], 1.0]
-
-    def log(which, h, w):
-        uni = (one[which][w] * f[which] + lm.A) / (n[which] * f[which] + lm.A * v)
-        return math.log((two[which][h, w] * f[which] + lm.MU * uni) / (one[which][h] * f[which] + lm.MU))
-
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], DOCS)
+    of_docs = [i for i in range(len(texts)) if i < 5 or i >= 219]
     scored = docs.where("doc_id < 5 or doc_id >= 219").union(spark.createDataFrame([(1000 + i, t, "x", 1) for i, t in enumerate(new)], DOCS))
-    out = lm.score(scored, lm.fit(docs, docs.where(f"doc_id < {n_target}")))
-    assert out.columns == ["doc_id", "text", "score", "n", "n_scored", "ce_difference"]
-    rows = out.collect()
-    assert len(rows) == scored.count()
-    for r in rows:
-        e = (r["text"] or "").split()
-        assert r["n_scored"] == len(e)
-        if not e:
-            assert r["ce_difference"] is None
-            continue
-        want = sum(log(0, h, w) - log(1, h, w) for h, w in zip(["", *e], e, strict=False)) / len(e)
-        assert r["ce_difference"] == pytest.approx(want, abs=1e-9)
+    model = lm.fit(docs, docs.where(f"doc_id < {n_target}"))
+    assert model.counts.agg(F.sum("n")).first()[0] > 1_200_000 and model.parts > 8
+    rows = lm.score(scored, model).orderBy("doc_id").collect()
+    agree([(r["n_scored"], r["ce_difference"]) for r in rows], plain_scores(texts, texts[:n_target], [texts[i] for i in of_docs] + new))
 
 
 def test_lm_separates(spark):
