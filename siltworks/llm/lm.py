@@ -32,6 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +42,11 @@ from .common import materialize, shuffle_width, table
 
 MU, A = 64.0, 0.5
 #: Tokens and rows of a chunk: it is closed once it has as many of either. A text is never cut.
-CHUNK_TOKENS, CHUNK_ROWS = 1 << 20, 1 << 16
+CHUNK_TOKENS, CHUNK_ROWS = 1 << 19, 1 << 16
 #: Tokens whose words and bigrams share a range of hashes, so about as many are added up at a time.
 RANGE_TOKENS = 1 << 23
+#: Bytes of marks (a bit for each text) that are sent to all tasks at most.
+MASK_BYTES = 1 << 25
 #: The start of a text counts as the word "", once for each text that has tokens.
 START = xxhash.xxh64_intdigest(b"")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -61,18 +64,19 @@ def tokens(text: str | None) -> list[bytes]:
 # --- packing ------------------------------------------------------------------
 
 
-def planes(x: np.ndarray, width: int | None = None) -> bytes:
-    """Whole numbers of at least zero, all lowest bytes first, then the next; ``width`` bytes of each, as few as hold all by default."""
+def planes(x: np.ndarray) -> bytes:
+    """Whole numbers of at least zero: all lowest bytes, then all next ones, as many as the largest has, compressed."""
     x = np.ascontiguousarray(x, np.uint64)
-    width = width or max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes(), 1)
 
 
 def unplanes(data: bytes, n: int) -> np.ndarray:
     """What ``planes`` packed, as unsigned 64-bit integers."""
     out = np.zeros((n, 8), np.uint8)
     if n:
-        out[:, : len(data) // n] = np.frombuffer(data, np.uint8).reshape(-1, n).T
+        data = np.frombuffer(zstandard.decompress(data), np.uint8)
+        out[:, : len(data) // n] = data.reshape(-1, n).T
     return out.view(np.uint64).reshape(-1)
 
 
@@ -112,9 +116,13 @@ def coded(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
         numbers, held, sizes, kept, total = _Numbers({b"": 0}), [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            words = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
+            words, ids = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers)), np.concatenate(held)
+            # Frequent words get small numbers, which pack well; the start keeps 0.
+            by = np.concatenate([[0], np.argsort(-np.bincount(ids, minlength=len(words))[1:], kind="stable") + 1])
+            rank = np.empty(len(words), np.int64)
+            rank[by] = np.arange(len(words))
             numbered, structs = (pa.array([x], t) for x, t in (((task << 32) | made, pa.int64()), (task + made, pa.int32()), (total, pa.int64()))), pa.concat_arrays(kept)
-            packed = (pa.array([x], pa.binary()) for x in (planes(np.concatenate(held)), words.tobytes(), np.array(sizes, np.int32).tobytes()))
+            packed = (pa.array([x], pa.binary()) for x in (planes(rank[ids]), words[by].tobytes(), np.array(sizes, np.int32).tobytes()))
             return pa.record_batch([*numbered, *packed, pa.ListArray.from_arrays(pa.array([0, len(structs)], pa.int32()), structs)], names=schema.names)
 
         for batch in batches:
@@ -178,15 +186,18 @@ class Chunk:
 def asked(chunks: DataFrame, parts: int) -> DataFrame:
     """Rows of _ASKED: what each chunk wants to know, by range of hashes, and what it counts itself.
 
-    ``chunks`` has in_b (whether its texts count in the background) and in_t (an
-    array of the positions of those that count in the target; null: all).
+    ``chunks`` has in_b (whether its texts count in the background) and in_t (a
+    bit for each text that counts in the target, to the last such; null: all do).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk.of(row)
-                of_target = np.ones(len(chunk.size), bool) if row["in_t"] is None else np.isin(np.arange(len(chunk.size)), row["in_t"])
+                of_target = np.ones(len(chunk.size), bool)
+                if row["in_t"] is not None:
+                    bits = np.unpackbits(np.frombuffer(row["in_t"], np.uint8), bitorder="little")[: len(of_target)]
+                    of_target = np.concatenate([bits, np.zeros(len(of_target) - len(bits), np.uint8)]) > 0
                 b, t = chunk.counts(np.full(len(chunk.size), row["in_b"])), chunk.counts(of_target)
                 keys, at = np.unique(chunk.keys, return_index=True)  # of equal hashes one is sent
                 b, t = np.add.reduceat(b, at), np.add.reduceat(t, at)
@@ -264,7 +275,7 @@ class Model:
 
 def fit(background: DataFrame, target: DataFrame, text_col: str = "text") -> Model:
     """Both models from all of their texts, all words and bigrams. Only totals reach the driver. Null texts count as empty."""
-    nowhere, everywhere = F.array().cast("array<int>"), F.lit(None).cast("array<int>")
+    nowhere, everywhere = F.lit(b""), F.lit(None).cast("binary")
     sides = [coded(docs, text_col, []).withColumns({"in_b": F.lit(in_b), "in_t": in_t}) for docs, in_b, in_t in ((background, True, nowhere), (target, False, everywhere))]
     chunks = materialize(sides[0].unionByName(sides[1]), "chunks")
     parts = parts_for(chunks)
@@ -272,12 +283,28 @@ def fit(background: DataFrame, target: DataFrame, text_col: str = "text") -> Mod
     return Model(counts, parts, *totals(counts))
 
 
+def _masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        masks = []
+        for at in batch.column(1).to_pylist():
+            mask = np.zeros(max(at) + 1, np.uint8)
+            mask[at] = 1
+            masks.append(np.packbits(mask, bitorder="little").tobytes())
+        yield pa.record_batch([batch.column(0), pa.array(masks, pa.binary())], names=["chunk", "in_t"])
+
+
 def marked(chunks: DataFrame, id_at: int, target_ids: DataFrame) -> DataFrame:
-    """``chunks`` with in_t: the positions of the texts whose id (field c<id_at> of kept) is in ``target_ids``. Only ids are joined."""
+    """``chunks`` with in_t: a bit for each text, set where its id (field c<id_at> of kept) is in ``target_ids``.
+
+    Only ids are joined. The bits are sent to all tasks if they are at most
+    ``MASK_BYTES`` together, and joined to the chunks by a shuffle beyond that.
+    """
     ids = chunks.select("chunk", F.posexplode(F.transform("kept", lambda x: x[f"c{id_at}"]))).where(F.col("col").isNotNull())
     wanted = target_ids.select(target_ids[f"`{target_ids.columns[0]}`"].alias("wanted")).where(F.col("wanted").isNotNull()).distinct()
     found = ids.join(wanted, ids["col"] == wanted["wanted"], "left_semi").groupBy("chunk").agg(F.collect_list("pos").alias("in_t"))  # at most a chunk's rows
-    return chunks.join(found, "chunk", "left").withColumn("in_t", F.coalesce("in_t", F.array().cast("array<int>")))
+    masks = materialize(found.mapInArrow(_masks, "chunk long, in_t binary"), "masks")
+    small = (masks.agg(F.sum(F.octet_length("in_t"))).first()[0] or 0) <= MASK_BYTES
+    return chunks.join(F.broadcast(masks) if small else masks.hint("merge"), "chunk", "left").withColumn("in_t", F.coalesce("in_t", F.lit(b"")))
 
 
 def scored(chunks: DataFrame, answers: DataFrame, n_background: int, n_target: int, size: int, names: list[str], schema: StructType) -> DataFrame:
@@ -346,7 +373,7 @@ def score(docs: DataFrame, model: Model | None = None, text_col: str = "text", k
         rows = asked(marked(chunks, inputs.index(id_col), target_ids).withColumn("in_b", F.lit(True)), parts)
     else:
         parts = model.parts
-        rows = asked(chunks.withColumns({"in_b": F.lit(False), "in_t": F.array().cast("array<int>")}), parts).unionByName(model.counts.select("chunk", "back", "part", "n", "keys", "b", "t"))
+        rows = asked(chunks.withColumns({"in_b": F.lit(False), "in_t": F.lit(b"")}), parts).unionByName(model.counts.select("chunk", "back", "part", "n", "keys", "b", "t"))
     answers = materialize(summed(rows, parts, answer=True), "answers")
     known = totals(answers) if model is None else (model.n_background, model.n_target, model.size)
     return scored(chunks, answers, *known, [f"c{i}" for i in range(len(keep))], schema)
