@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -35,10 +35,6 @@ CHUNK = 32
 UNKNOWN = "und"
 
 
-class NothingToLearn(ValueError):
-    """There is no labelled text."""
-
-
 @dataclass
 class Net:
     """languages; e (256, EMBED); w per width (width, EMBED, FILTERS); b (filters); v, c of the last layer."""
@@ -121,6 +117,8 @@ _tables: dict[str, tuple] = {}
 
 def classify(net: Net, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and its probability for every text; UNKNOWN and 0 without letters."""
+    if not net.languages:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
     key = net.digest()
     if key not in _tables:
         _tables.clear()
@@ -169,23 +167,27 @@ def is_held_out(id_: Column) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = TRAIN_ROWS) -> Net:
-    """A network from at most ``rows`` labelled rows, the first by a hash of their id, held-out rows aside."""
+    """A network from at most ``rows`` labelled rows, held-out rows aside.
+
+    Languages take turns, each with its first rows by a hash of their id, so a
+    rare one is learned too. Without labelled texts the network knows no language.
+    """
     named = docs.select(docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].cast("string").alias("t"), docs[f"`{lang_col}`"].cast("string").alias("lang"))
     usable = named.where(F.col("lang").isNotNull() & F.col("t").rlike(r"\p{L}") & ~is_held_out(F.col("id")))
-    chosen = usable.select("id", F.xxhash64("id").alias("h")).orderBy("h", "id").limit(rows).select("id").distinct()
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
+    chosen = usable.select("id", "lang", F.xxhash64("id").alias("h")).withColumn("turn", turn).where(F.col("turn") <= rows).orderBy("turn", "h", "id").limit(rows).select("id").distinct()
     start = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.lit(1), F.length("t") - WINDOW)).cast("int") + 1
     cut = F.array(*[F.substr("t", start(k), F.lit(WINDOW)) for k in range(TRAIN_WINDOWS)])
     found = usable.join(F.broadcast(chosen), "id", "left_semi").select("lang", "id", F.array_distinct(cut).alias("w")).orderBy("id", "lang", "w").limit(rows).collect()
     pairs = [(w.encode("utf-8", "replace"), r["lang"]) for r in found for w in r["w"]]
-    if not pairs:
-        raise NothingToLearn("no labelled text to learn from")
     return train([w for w, _ in pairs], [lang for _, lang in pairs])
 
 
 def predict(docs: DataFrame, net: Net, text_col: str = "text", keep: list[str] | None = None, lang_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) and two more, which replace columns of the same names.
 
-    Null texts, empty texts and texts without a letter get UNKNOWN and 0. Texts
+    Null texts, empty texts and texts without a letter get UNKNOWN and 0, as do
+    all texts if the network knows no language. Texts
     of any length are read whole. Rows that repeat are kept.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (lang_name, score_name)]

@@ -22,6 +22,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -31,8 +32,8 @@ from .common import table
 #: Votes.
 NONE, BAD, GOOD = 0, 1, 2
 DIM = 1 << 16
-#: The scorer is fitted on this many rows at most, the first by a hash of their id, and this many bytes of each.
-TRAIN_ROWS, TRAIN_BYTES = 4000, 2048
+#: The scorer is fitted on this many rows at most, the first by a hash of their id; on the whole text of each.
+TRAIN_ROWS = 4000
 KEEP = 0.5
 #: Added to a text's number of trigrams, so that a few of them cannot decide.
 EVEN = 100
@@ -124,13 +125,25 @@ def fit_labels(patterns: np.ndarray, n: np.ndarray, rounds: int = 200) -> LabelM
     return model
 
 
-def features(data: bytes, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the text's byte trigrams (each weighs 1 / (their number + EVEN)), and places of its stepped measures."""
-    b = np.frombuffer(data, np.uint8).astype(np.uint32)
-    grams = ((b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2654435761)) >> np.uint32(16) if len(b) > 2 else np.zeros(0, np.uint32)
+def trigrams(data: bytes) -> Iterator[np.ndarray]:
+    """Places of a text's byte trigrams, STRIP of them at a time."""
+    for at in range(0, max(1, len(data) - 2), STRIP):
+        b = np.frombuffer(data[at : at + STRIP + 2], np.uint8).astype(np.uint32)
+        yield ((b[:-2] << 16 | b[1:-1] << 8 | b[2:]) * np.uint32(2654435761)) >> np.uint32(16) if len(b) > 2 else np.zeros(0, np.uint32)
+
+
+def gram_counts(data: bytes) -> tuple[bytes, bytes]:
+    """The places that a text's trigrams have (unsigned 16 bit) and how many have each (32 bit), packed: of any text at most DIM."""
+    n = sum((np.bincount(g, minlength=DIM) for g in trigrams(data)), np.zeros(DIM, np.int64))
+    place = np.flatnonzero(n)
+    return zstandard.compress(place.astype(np.uint16).tobytes(), 1), zstandard.compress(n[place].astype(np.uint32).tobytes(), 1)
+
+
+def stepped(x: np.ndarray) -> np.ndarray:
+    """Places of a text's stepped measures."""
     steps = [int(s) for s in (x[0] * 100, x[1] * 10, x[2] * 10, x[3] * 40, x[4] * 2, x[5] * 20, x[6] * 20, x[7] * 50)]
     size = int(np.log2(x[8] + 1))
-    return grams, np.array([zlib.crc32(f"{i}:{min(s, 40)}:{min(size, 5)}".encode()) % DIM for i, s in enumerate(steps)], np.int64)
+    return np.array([zlib.crc32(f"{i}:{min(s, 40)}:{min(size, 5)}".encode()) % DIM for i, s in enumerate(steps)], np.int64)
 
 
 @dataclass
@@ -142,29 +155,27 @@ class Scorer:
     bias: float
 
     def score(self, text: str, x: np.ndarray) -> float:
-        data, total, n = text.encode("utf-8", "replace"), 0.0, 0
-        for at in range(0, max(1, len(data) - 2), STRIP):
-            g, s = features(data[at : at + STRIP + 2], x)
+        total, n = 0.0, 0
+        for g in trigrams(text.encode("utf-8", "replace")):
             total, n = total + float(self.grams[g].sum()), n + len(g)
-        z = self.bias + float(self.steps[s].sum()) + total / (n + EVEN)
+        z = self.bias + float(self.steps[stepped(x)].sum()) + total / (n + EVEN)
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def fit_scorer(samples: list[tuple[bytes, np.ndarray]], y: np.ndarray, rounds: int = 300, rate: float = 0.05, ridge: float = 1e-4) -> Scorer:
-    """Logistic regression on soft labels ``y`` by Adam; grams weigh 30 times their share, so both kinds learn alike."""
-    fs = [features(d, x) for d, x in samples]
-    sizes = np.array([len(g) for g, _ in fs], np.int64)
-    row = np.repeat(np.arange(len(fs)), sizes)
-    gram = np.concatenate([g for g, _ in fs]) if fs else np.zeros(0, np.int64)
-    key, n = np.unique(row * DIM + gram.astype(np.int64), return_counts=True)
-    row, gram = key // DIM, key % DIM
-    weight = 30.0 * n / (sizes[row] + EVEN)
-    step = np.stack([s for _, s in fs]) if fs else np.zeros((0, LABELLERS), np.int64)
+def fit_scorer(grams: list[tuple[bytes, bytes]], xs: list[np.ndarray], y: np.ndarray, rounds: int = 300, rate: float = 0.05, ridge: float = 1e-4) -> Scorer:
+    """Logistic regression on soft labels ``y`` by Adam; a gram (packed by ``gram_counts``) weighs 30 times its share, so both kinds learn alike."""
+    places = [np.frombuffer(zstandard.decompress(p), np.uint16) for p, _ in grams]
+    counts = [np.frombuffer(zstandard.decompress(c), np.uint32) for _, c in grams]
+    row = np.repeat(np.arange(len(grams), dtype=np.int32), [len(p) for p in places]) if grams else np.zeros(0, np.int32)
+    gram = np.concatenate([*places, np.zeros(0, np.uint16)]).astype(np.int32)
+    weight = np.concatenate([*(30.0 * c / (c.sum(dtype=np.int64) + EVEN) for c in counts), np.zeros(0)])
+    step = np.stack([stepped(x) for x in xs]) if xs else np.zeros((0, LABELLERS), np.int64)
+    n = len(grams)
     params = [np.zeros(DIM), np.zeros(DIM), np.zeros(1)]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for t in range(1, rounds + 1 if len(fs) else 1):
-        z = params[2][0] + params[1][step].sum(1) + np.bincount(row, weight * params[0][gram], len(fs))
-        d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / len(fs)
+    for t in range(1, rounds + 1 if n else 1):
+        z = params[2][0] + params[1][step].sum(1) + np.bincount(row, weight * params[0][gram], n)
+        d = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / n
         grads = [
             np.bincount(gram, weight * d[row], DIM) + ridge * params[0],
             np.bincount(step.ravel(), np.repeat(d, step.shape[1]), DIM) + ridge * params[1],
@@ -188,7 +199,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
     limit = order if order is not None else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each pattern seen (n), and for each text of the sample one with its bytes (n 0)."""
+        """A row for each pattern seen (n), and for each text of the sample one with its trigrams (n 0)."""
         seen: dict[int, int] = {}
         for batch in batches:
             out = []
@@ -197,20 +208,21 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
                 code = sum(v * 3**i for i, v in enumerate(votes(x)))
                 seen[code] = seen.get(code, 0) + 1
                 if h <= limit:
-                    out.append((code, h, text.encode("utf-8", "replace")[:TRAIN_BYTES], x.tolist()))
-            yield pa.record_batch([pa.array([r[0] for r in out], pa.int32()), pa.array([0] * len(out), pa.int64()), *(pa.array([r[i] for r in out], t) for i, t in ((1, pa.int64()), (2, pa.binary()), (3, pa.list_(pa.float64()))))], names=["code", "n", "h", "data", "x"])
+                    out.append((code, 0, h, *gram_counts(text.encode("utf-8", "replace")), x.tolist()))
+            yield pa.record_batch([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
         none = len(seen)
-        yield pa.record_batch([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.binary()), pa.nulls(none, pa.list_(pa.float64()))], names=["code", "n", "h", "data", "x"])
+        yield pa.record_batch([pa.array(list(seen), types[0]), pa.array(list(seen.values()), types[1]), *(pa.nulls(none, t) for t in types[2:])], names=names)
 
-    found = named.select(F.xxhash64("id").alias("h"), "t").mapInArrow(run, "code int, n long, h long, data binary, x array<double>")
+    names, types = ["code", "n", "h", "places", "counts", "x"], [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64())]
+    found = named.select(F.xxhash64("id").alias("h"), "t").mapInArrow(run, "code int, n long, h long, places binary, counts binary, x array<double>")
     # One pass: patterns are summed under no hash, samples stay rows of their own.
-    tallied = found.groupBy("code", "h").agg(F.sum("n").alias("n"), F.min(F.struct("data", "x")).alias("sample")).orderBy(F.col("h").asc_nulls_first(), "code").limit(3**LABELLERS + rows).collect()
+    tallied = found.groupBy("code", "h").agg(F.sum("n").alias("n"), F.min(F.struct("places", "counts", "x")).alias("sample")).orderBy(F.col("h").asc_nulls_first(), "code").limit(3**LABELLERS + rows).collect()
     decode = lambda codes: np.array([[c // 3**i % 3 for i in range(LABELLERS)] for c in codes], np.int64).reshape(-1, LABELLERS)
     patterns = [r for r in tallied if r["h"] is None]
     samples = [r for r in tallied if r["h"] is not None]
     labels = fit_labels(decode([r["code"] for r in patterns]), np.array([r["n"] for r in patterns], float))
     y = labels.posterior(decode([r["code"] for r in samples])) if samples else np.zeros(0)
-    return labels, fit_scorer([(bytes(r["sample"]["data"]), np.array(r["sample"]["x"])) for r in samples], y)
+    return labels, fit_scorer([(bytes(r["sample"]["places"]), bytes(r["sample"]["counts"])) for r in samples], [np.array(r["sample"]["x"]) for r in samples], y)
 
 
 def classify(docs: DataFrame, models: tuple[LabelModel, Scorer], text_col: str = "text", keep: list[str] | None = None, threshold: float = KEEP) -> DataFrame:

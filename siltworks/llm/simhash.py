@@ -20,12 +20,19 @@ A task unites what it links and emits only a spanning forest, never all pairs of
 a group. Components of the remaining links are found by alternately hooking the
 larger neighbours and the smaller neighbours of every node to its minimum.
 
-Fingerprints are op2's. To keep one of each group (``keep_one``), texts are
-compared by their whole sets of five-word shingles instead, and no pair is lost.
+To keep one of each group (``keep_one``), texts are alike if their sets of
+five-word shingles have a Jaccard index of 0.8. The tries link fingerprints of
+these sets, and every link is checked on whole sets. As alike texts may differ in
+more bits than the budget, an exact way handles the rest: two such sets share a
+shingle among the rarest fifth of each (prefix filter), and pairs that do, and
+are not in one component yet, are checked on whole sets too. So no pair is lost.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,7 +47,9 @@ SHINGLE = 3
 #: Likeness of whole texts, for ``classes`` and ``keep_one``: words in a shingle and least Jaccard index.
 WORDS, SIMILARITY = 5, 0.8
 #: Texts looked at for frequent shingles, and how many of these are sent to all tasks, at most.
-SAMPLE_ROWS, COMMON = 20_000, 1 << 16
+SAMPLE_ROWS, COMMON = 8192, 1 << 16
+#: Texts whose shingles are hashed at a time, and pairs that name one set before it is copied.
+TEXTS, PAIRS = 256, 512
 #: Shingle hashes whose bits are counted at a time.
 STRIP = 1 << 15
 #: Fingerprints under one block value before it is dealt to cells, at least.
@@ -274,13 +283,44 @@ def print_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 # --- likeness of whole shingle sets -----------------------------------------
 
 
+def shingle_sets(texts: list[str | None], size: int = WORDS) -> Iterator[np.ndarray]:
+    """Per text the ascending distinct 64-bit hashes of its word shingles; fewer words than a shingle make one of all."""
+    for at in range(0, len(texts), TEXTS):
+        words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts[at : at + TEXTS]]
+        known: dict[bytes, int] = {}
+        for some in words:
+            known.update((w, xxhash.xxh64_intdigest(w)) for w in set(some).difference(known))
+        m = np.array([len(x) for x in words])
+        h = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.uint64, int(m.sum()))
+        ends = np.cumsum(m)
+        # Every stretch of ``size`` words of all texts end to end; those that cross an end are not used.
+        x = np.full(max(0, len(h) - size + 1), size, np.uint64)
+        for k in range(size):
+            x = _mixed(x, h[k : k + len(x)])
+        for n, end in zip(m.tolist(), ends.tolist(), strict=True):
+            if n >= size:
+                yield np.unique(x[end - n : end - size + 1])
+            else:
+                one = np.full(min(n, 1), n, np.uint64)
+                for k in range(n):
+                    one = _mixed(one, h[end - n + k : end - n + k + 1])
+                yield one
+
+
+def _mixed(x: np.ndarray, h: np.ndarray) -> np.ndarray:
+    x = (x ^ h) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
 def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Ascending distinct hashes of the word shingles of a text; fewer words than a shingle make one of all."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) >= size else [b" ".join(words)]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), np.uint64))
+    return next(shingle_sets([text], size))
+
+
+def set_fingerprint(grams: np.ndarray) -> int:
+    """SimHash of a set, as a signed long: bits that over half of its hashes have; 0 for the empty one."""
+    ones = np.unpackbits(grams.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits((ones * 2 > len(grams)).astype(np.uint8), bitorder="little").view(np.int64)[0])
 
 
 def set_print(grams: np.ndarray) -> int:
@@ -293,12 +333,12 @@ def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndar
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t) for t in batch.column(0).to_pylist()]
-            yield pa.record_batch([pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))], names=["g"])
+            grams, n = np.unique(np.concatenate([*shingle_sets(batch.column(0).to_pylist()), np.zeros(0, np.uint64)]), return_counts=True)
+            yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(n)], names=["g", "n"])
 
     texts = docs.select(docs[f"`{text_col}`"].cast("string").alias("t"))
     some = texts.sample(min(1.0, SAMPLE_ROWS / max(1, texts.count())), 7)
-    counts = some.mapInArrow(run, "g long").groupBy("g").agg(F.count("*").alias("n")).where("n > 2")
+    counts = some.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 2")
     top = most_frequent(materialize(counts, "common"), "n", COMMON).toPandas()
     grams, n = top["g"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     by = np.argsort(grams)
@@ -317,6 +357,18 @@ def prefix(grams: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity
     return grams[np.lexsort((grams, rank))[:most]]
 
 
+def with_sets(pairs: DataFrame, sets: DataFrame, key: str, name: str) -> DataFrame:
+    """``pairs`` with the grams of its column ``key`` as ``name``. A set that very many pairs name is copied, and its pairs are dealt to the copies."""
+    copies = pairs.groupBy(key).agg(F.ceil(F.count("*") / PAIRS).cast("int").alias("s")).where("s > 1")
+    copies = materialize(copies, "copies")
+    side = sets.select(F.col("fp").alias(key), F.col("grams").alias(name))
+    if copies.isEmpty():
+        return pairs.join(side, key)
+    dealt = pairs.join(copies, key, "left").withColumn("copy", F.pmod(F.xxhash64("a", "b"), F.coalesce("s", F.lit(1))).cast("int")).drop("s")
+    numbers = F.explode(F.sequence(F.lit(0), F.coalesce("s", F.lit(1)) - 1)).alias("copy")
+    return dealt.join(side.join(copies, key, "left").select(key, name, numbers), [key, "copy"]).drop("copy")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets (fp, grams) are alike enough."""
 
@@ -329,84 +381,112 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 near.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    left, right = sets.select(F.col("fp").alias("a"), F.col("grams").alias("x")), sets.select(F.col("fp").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    both = with_sets(with_sets(pairs, sets, "a", "x"), sets, "b", "y")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def set_links(docs: DataFrame, distinct: DataFrame, text_col: str, similarity: float) -> DataFrame:
-    """Edges (a, b) that connect all distinct sets of ``distinct`` (fp, tk, n, prefix) at or above ``similarity``.
+    """Edges (a, b) that connect all distinct sets of ``distinct`` (fp, sim, tk, n, prefix) at or above ``similarity``.
 
-    Two such sets share a shingle of their prefixes. First every set is compared
-    with one set for each shingle, which joins most of a group; then all pairs
-    that are not in one component yet. Pairs in one component add nothing, so a
-    large group is never compared pair by pair.
+    First the links of the tries are checked, and with them one pair for each set
+    and shingle of its prefix, which joins most of a group; then all pairs that
+    share a shingle of their prefixes and are not in one component yet. Pairs in
+    one component add nothing, so a large group is never compared pair by pair.
     """
-    heads = distinct.select("fp", "tk", "n", F.explode("prefix").alias("g"))
-    seen = heads.groupBy("g").agg(F.count("*").alias("m"), F.min("fp").alias("lead")).where("m > 1").select("g", "lead")
-    shared = materialize(heads.join(seen, "g").select("g", "fp", "tk", "n", "lead"), "shared")
-    needed = shared.select("tk").distinct()
+    lead = distinct.groupBy("sim").agg(F.min("fp").alias("lead"))
+    lead = materialize(lead, "sims")
+    own = distinct.join(lead, "sim").where("fp <> lead").select(F.col("lead").alias("a"), F.col("fp").alias("b"))
+    near = links(lead.select(F.col("sim").alias("fp")))
+    of = lambda end: lead.select(F.col("sim").alias(end), F.col("lead").alias(f"{end}_lead"))
+    near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("a_lead").alias("a"), F.col("b_lead").alias("b"))
+
+    heads = distinct.select("fp", "n", F.posexplode("prefix").alias("pos", "g"))
+    seen = heads.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("fp", "n", "pos")).alias("lead")).where("m > 1").select("g", "lead")
+    shared = materialize(heads.join(seen, "g"), "shared")
+
+    def alike(n, at, m, other):
+        """Sets of n and m shingles whose first common one is at these places can still be alike."""
+        least = (n + m) * (similarity / (1 + similarity)) - 1e-6
+        return (F.least(n, m) >= F.greatest(n, m) * similarity - 1e-6) & (F.least(n - at, m - other) >= least)
+
+    c = F.col
+    led = shared.where((c("fp") != c("lead.fp")) & alike(c("n"), c("pos"), c("lead.n"), c("lead.pos"))).select(c("lead.fp").alias("a"), c("fp").alias("b"))
+    tried = materialize(own.union(near).union(led).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+
+    needed = distinct.join(tried.select(F.explode(F.array("a", "b")).alias("fp")).union(shared.select("fp")).distinct(), "fp", "left_semi").select("tk")
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t) for t in batch.column(0).to_pylist()]
+            sets = list(shingle_sets(batch.column(0).to_pylist()))
             yield pa.record_batch([pa.array([set_print(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["fp", "grams"])
 
     text = docs[f"`{text_col}`"].cast("string")
     texts = docs.select(F.xxhash64(text).alias("tk"), text.alias("t")).groupBy("tk").agg(F.min("t").alias("t"))
     sets = materialize(texts.join(needed, "tk", "left_semi").select("t").mapInArrow(run, "fp long, grams binary"), "sets")
 
-    first = materialize(verified(shared.where("fp <> lead").select(F.col("lead").alias("a"), F.col("fp").alias("b")).distinct(), sets, similarity), "first-links")
-    rooted = shared.join(components(first), "fp", "left").select("g", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    first = materialize(verified(tried, sets, similarity), "first-links")
+    rooted = shared.select("g", "fp", "n", "pos").join(components(first), "fp", "left").select("g", "fp", "n", "pos", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "rooted")
     # Of two sets apart, one at least is not in the main component of a shingle.
     main = rooted.groupBy("g", "root").agg(F.count("*").alias("m")).groupBy("g").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("k")).where("k > 1").select("g", "main")
     split = materialize(rooted.join(main, "g"), "split")
-    x = split.where("root <> main").select("g", F.col("fp").alias("p"), F.col("n").alias("np"), F.col("root").alias("rp"))
-    y = split.select("g", F.col("fp").alias("q"), F.col("n").alias("nq"), F.col("root").alias("rq"))
-    alike = F.least("np", "nq") >= F.greatest("np", "nq") * similarity - 1e-9
-    others = x.join(y, "g").where((F.col("rp") != F.col("rq")) & alike).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    x = split.where("root <> main").select("g", c("fp").alias("p"), c("n").alias("np"), c("pos").alias("ip"), c("root").alias("rp"))
+    y = split.select("g", c("fp").alias("q"), c("n").alias("nq"), c("pos").alias("iq"), c("root").alias("rq"))
+    others = x.join(y, "g").where((c("rp") != c("rq")) & alike(c("np"), c("ip"), c("nq"), c("iq"))).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    others = materialize(others.join(tried, ["a", "b"], "left_anti"), "others")
     return first.union(verified(others, sets, similarity))
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """id, fp and component_id of every row, by the likeness of whole texts: the smallest id reachable over
-    pairs whose sets of five-word shingles have a Jaccard index of ``similarity`` (0.8) at least.
-
-    No pair is lost (prefix filter and exact check). fp names a set of shingles;
-    texts without words are alike. Null ids, rows that repeat and empty tables
-    are as in ``print_classes``.
-    """
+def rooted_sets(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, tk, fp) in the order of ``docs``, and the root of each fp; a root stands for one component."""
     common, counts = common_shingles(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((common, counts))
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t) for t in batch.column(2).to_pylist()]
-            heads = [prefix(x, *shared.value, similarity).view(np.int64) for x in sets]
-            yield pa.record_batch([*batch.columns[:2], pa.array([set_print(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array(heads, pa.list_(pa.int64()))], names=["id", "tk", "fp", "n", "prefix"])
+            found = [(set_print(x), set_fingerprint(x), len(x), prefix(x, *shared.value, similarity).view(np.int64)) for x in shingle_sets(batch.column(2).to_pylist())]
+            columns = zip(*found, strict=True) if found else [[]] * 4
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.record_batch([*batch.columns[:2], *(pa.array(x, t) for x, t in zip(columns, types, strict=True))], names=["id", "tk", "fp", "sim", "n", "prefix"])
 
     text = docs[f"`{text_col}`"].cast("string")
     rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.xxhash64(text).alias("tk"), text.alias("t"))
-    prints = materialize(rows.mapInArrow(run, "id long, tk long, fp long, n long, prefix array<long>"), "set-prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("id").alias("least"), F.min("tk").alias("tk"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct-sets")
+    prints = materialize(rows.mapInArrow(run, "id long, tk long, fp long, sim long, n long, prefix array<long>"), "set-prints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("tk").alias("tk"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct-sets")
     roots = components(set_links(docs, distinct, text_col, similarity))
-    placed = distinct.select("fp", "least").join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    names = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return prints.select("id", "fp").join(names, "fp").select("id", "fp", "component_id")
+    return prints.select("id", "tk", "fp"), distinct.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """id, fp and component_id of every row, by the likeness of whole texts: the smallest id reachable over
+    pairs whose sets of five-word shingles have a Jaccard index of ``similarity`` (0.8) at least.
+
+    No pair is lost (tries, prefix filter and exact check). fp names a set of
+    shingles; texts without words are alike. Null ids, rows that repeat and empty
+    tables are as in ``print_classes``.
+    """
+    rows, roots = rooted_sets(docs, id_col, text_col, similarity)
+    least = rows.groupBy("fp").agg(F.min("id").alias("least")).join(roots, "fp")
+    names = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    return rows.select("id", "fp").join(names, "fp").select("id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id stands for its component of ``classes``, with the columns of ``docs``.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """One row of ``docs`` for each component of ``classes``, with the columns of ``docs``.
 
-    Of rows that share that id one is kept, the smallest by text. Rows with a
-    null id cannot stand for others and are kept.
+    The row of the smallest id stands, null ids last; among rows that share it,
+    one text by its hash, and one of rows that are alike in id and text. Rows that
+    share an id but not a component each stand for their own.
     """
-    found = classes(docs, id_col, text_col)
-    stands = found.where(F.col("id") == F.col("component_id")).select("id").distinct()
+    rows, roots = rooted_sets(docs, id_col, text_col, similarity)
+    order = F.struct(F.col("id").isNull().alias("no"), F.coalesce("id", F.lit(0)).alias("id"), "tk")
+    least = rows.groupBy("fp").agg(F.min(order).alias("stands")).join(roots, "fp").groupBy("root").agg(F.min("stands").alias("stands"))
+    stands = materialize(least.select("stands.no", "stands.id", "stands.tk"), "stands")
     cols = docs.columns
-    packed = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"), F.coalesce(docs[f"`{text_col}`"], F.lit("")).alias("t"))
-    named = packed.join(stands, "id", "left_semi").groupBy("id").agg(F.min_by("row", "t").alias("row")).select("row")
-    return named.unionByName(packed.where("id IS NULL").select("row")).select(*[F.col("row").getField(c).alias(c) for c in cols])
+    key = docs[f"`{id_col}`"].cast("long")
+    packed = docs.select(key.isNull().alias("no"), F.coalesce(key, F.lit(0)).alias("id"), F.xxhash64(docs[f"`{text_col}`"].cast("string")).alias("tk"), F.struct(*[docs[f"`{c}`"] for c in cols]).alias("row"))
+    kept = packed.join(stands, ["no", "id", "tk"], "left_semi").groupBy("no", "id", "tk").agg(F.first("row").alias("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in cols])
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

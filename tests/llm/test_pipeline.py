@@ -3,6 +3,7 @@
 import corpus_pipeline
 import pytest
 from conftest import DATA
+from pyspark.sql import functions as F
 
 from siltworks.llm import mixing, quality, simhash
 
@@ -31,7 +32,7 @@ def test_decisions_take_effect(spark, stages):
     kept = quality.classify(docs, quality.fit(docs)).where("quality_keep").select("doc_id")
     assert kept.exceptAll(stages["quality"].select("doc_id")).isEmpty() and 0 < stages["quality"].count() < docs.count()
     assert stages["language"].count() >= 0.97 * stages["quality"].count()
-    groups = simhash.classes(stages["language"]).select("component_id").distinct()
+    groups = simhash.classes(stages["language"]).select("component_id").distinct()  # ids are distinct in this table
     assert groups.count() == stages["near_dedup"].count() and groups.exceptAll(stages["near_dedup"].select("doc_id")).isEmpty()
     mixed = mixing.sample_mixture(stages["near_dedup"])
     assert mixed.exceptAll(stages["mix"]).isEmpty() and mixed.count() == stages["mix"].count() == stages["encode"].count()
@@ -45,3 +46,11 @@ def test_empty_and_nulls(spark):
         docs = spark.createDataFrame(rows, schema)
         for _, stage in corpus_pipeline.STAGES:
             docs = spark.createDataFrame((out := stage(spark, docs, DATA)).collect(), out.schema)
+
+
+def test_columns_with_the_names_of_predictions(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").withColumns({c: F.lit(7.5) for c in ("score", "lang_pred", "quality_score", "quality_label", "quality_keep")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, DATA)
+        assert docs.columns == [*COLUMNS, "score", "lang_pred", "quality_score", "quality_label", "quality_keep"]
+    assert 0 < docs.count() == docs.where("score = 7.5 AND lang_pred = 7.5 AND quality_score = 7.5 AND quality_label = 7.5 AND quality_keep = 7.5").count()

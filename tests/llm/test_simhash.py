@@ -100,7 +100,10 @@ def test_edges_of_input(spark):
     assert sorted((str(r["id"]), r["component_id"]) for r in got) == [("3", 3), ("3", 3), ("4", 4), ("5", 3), ("7", 7), ("8", 7), ("9", 7), ("None", 3)]
     assert simhash.classes(spark.createDataFrame([], DOCS)).count() == 0
     kept = simhash.keep_one(spark.createDataFrame(rows, DOCS))
-    assert kept.columns == ["doc_id", "text", "fp", "id"] and sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "4", "7", "None"]
+    assert kept.columns == ["doc_id", "text", "fp", "id"] and sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "4", "7"]
+    # Rows that share an id without being alike each stay; of null ids one stays for its group.
+    apart = [(5, "completely different words here now", "a", ""), (5, "nothing in common with that one", "b", ""), (None, "no id at all", "c", ""), (None, "no id at all", "c", "")]
+    assert sorted((str(r["doc_id"]), r["fp"]) for r in simhash.keep_one(spark.createDataFrame(apart, DOCS)).collect()) == [("5", "a"), ("5", "b"), ("None", "c")]
 
 
 def test_groups_by_whole_shingle_sets(spark):

@@ -226,5 +226,12 @@ def test_language_edges(spark):
     assert out.columns == ["doc_id", "text", "n", "lang_pred", "score"]
     assert [(r["lang_pred"], r["score"]) for r in out.collect()[:3]] == [("und", 0.0)] * 3 and out.collect()[3]["lang_pred"] in ("en", "de")
     assert langid.predict(docs.limit(0), net).count() == 0
-    with pytest.raises(langid.NothingToLearn):
-        langid.fit(docs.withColumn("lang", F.lit(None).cast("string")))
+    for nothing in (docs.withColumn("lang", F.lit(None).cast("string")), docs.withColumn("lang", F.lit("en")).limit(0)):
+        net = langid.fit(nothing)
+        assert net.languages == [] and {(r["lang_pred"], r["score"]) for r in langid.predict(docs, net).collect()} == {("und", 0.0)}
+
+
+def test_rare_language_is_learned(spark):
+    texts = [("the cat and the dog", "en")] * 300 + [("der hund und die katze", "de")] * 3
+    net = langid.fit(spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string"), rows=8)
+    assert net.languages == ["de", "en"]
