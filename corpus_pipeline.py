@@ -17,18 +17,30 @@ from siltworks.llm.common import materialize, table
 LEAST_LANGUAGE = 0.5
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named by position, which no prediction replaces, and those names by the old ones."""
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _renamed(docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    return docs.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier, fitted on these rows, does not reject."""
-    return quality.classify(docs, quality.fit(docs)).where("quality_keep").select(docs.columns)
+    rows, names = _numbered(docs)
+    return _renamed(quality.classify(rows, quality.fit(docs), text_col=names["text"]).where("quality_keep"), names)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is found with enough certainty. Learns from the labelled rows; without any, none is rejected."""
-    try:
-        net = langid.fit(docs)
-    except langid.NothingToLearn:
+    net = langid.fit(docs)
+    if not net.languages:
         return docs
-    return langid.predict(docs, net).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select(docs.columns)
+    rows, names = _numbered(docs)
+    found = langid.predict(rows, net, text_col=names["text"])
+    return _renamed(found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)), names)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
