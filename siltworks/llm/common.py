@@ -43,6 +43,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append(path)
+    # What led to the table is not needed any more. Spark deletes the shuffle files of plans that the driver's JVM has collected.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -46,8 +46,10 @@ BLOCKS, BLOCK_BITS = 4, 16
 SHINGLE = 3
 #: Likeness of whole texts, for ``classes`` and ``keep_one``: words in a shingle and least Jaccard index.
 WORDS, SIMILARITY = 5, 0.8
-#: Texts looked at for frequent shingles, and how many of these are sent to all tasks, at most.
-SAMPLE_ROWS, COMMON = 8192, 1 << 16
+#: Texts looked at for frequent shingles (this share of all, and as many at least), and how many of these are sent to all tasks at most.
+SAMPLE_SHARE, SAMPLE_ROWS, COMMON = 0.02, 8192, 1 << 18
+#: Texts to compare that are named to all tasks at most; more are joined.
+NAMED = 1 << 20
 #: Texts whose shingles are hashed at a time, and pairs that name one set before it is copied.
 TEXTS, PAIRS = 256, 512
 #: Shingle hashes whose bits are counted at a time.
@@ -337,7 +339,7 @@ def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndar
             yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(n)], names=["g", "n"])
 
     texts = docs.select(docs[f"`{text_col}`"].cast("string").alias("t"))
-    some = texts.sample(min(1.0, SAMPLE_ROWS / max(1, texts.count())), 7)
+    some = texts.sample(min(1.0, max(SAMPLE_SHARE, SAMPLE_ROWS / max(1, docs.count()))), 7)
     counts = some.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 2")
     top = most_frequent(materialize(counts, "common"), "n", COMMON).toPandas()
     grams, n = top["g"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
@@ -369,8 +371,13 @@ def with_sets(pairs: DataFrame, sets: DataFrame, key: str, name: str) -> DataFra
     return dealt.join(side.join(copies, key, "left").select(key, name, numbers), [key, "copy"]).drop("copy")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets (fp, grams) are alike enough."""
+def verified(pairs: DataFrame, keys: DataFrame, docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
+    """Those of ``pairs`` (a, b; from storage) whose whole sets are alike enough. ``keys``: a text's hash tk for each set fp."""
+
+    def sets_of(batches):
+        for batch in batches:
+            sets = list(shingle_sets(batch.column(0).to_pylist()))
+            yield pa.record_batch([pa.array([set_print(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["fp", "grams"])
 
     def run(batches):
         for batch in batches:
@@ -381,79 +388,81 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 near.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
+    named = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    needed = materialize(keys.join(named, "fp", "left_semi").select("tk"), "needed")
+    text = docs[f"`{text_col}`"].cast("string")
+    # A null text has a hash of its own, so every row is found by it.
+    texts = docs.select(F.xxhash64(text).alias("tk"), text.alias("t")).join(F.broadcast(needed) if needed.count() <= NAMED else needed, "tk", "left_semi")
+    sets = materialize(texts.groupBy("tk").agg(F.min("t").alias("t")).select("t").mapInArrow(sets_of, "fp long, grams binary"), "sets")
     both = with_sets(with_sets(pairs, sets, "a", "x"), sets, "b", "y")
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def set_links(docs: DataFrame, distinct: DataFrame, text_col: str, similarity: float) -> DataFrame:
-    """Edges (a, b) that connect all distinct sets of ``distinct`` (fp, sim, tk, n, prefix) at or above ``similarity``.
+def set_links(docs: DataFrame, prints: DataFrame, distinct: DataFrame, text_col: str, similarity: float) -> DataFrame:
+    """Edges (a, b) that connect all distinct sets at or above ``similarity``.
 
-    First the links of the tries are checked, and with them one pair for each set
-    and shingle of its prefix, which joins most of a group; then all pairs that
-    share a shingle of their prefixes and are not in one component yet. Pairs in
-    one component add nothing, so a large group is never compared pair by pair.
+    ``distinct`` has a row (fp, sim, tk, row) for each set, and ``prints`` under that
+    row its n and prefix. First the links of the tries are checked, and with them
+    one pair for each set and shingle of its prefix, which joins most of a group;
+    then all pairs that share enough of their prefixes and are not in one
+    component yet. Pairs in one component add nothing, so a large group is never
+    compared pair by pair.
     """
-    lead = distinct.groupBy("sim").agg(F.min("fp").alias("lead"))
-    lead = materialize(lead, "sims")
-    own = distinct.join(lead, "sim").where("fp <> lead").select(F.col("lead").alias("a"), F.col("fp").alias("b"))
-    near = links(lead.select(F.col("sim").alias("fp")))
-    of = lambda end: lead.select(F.col("sim").alias(end), F.col("lead").alias(f"{end}_lead"))
-    near = near.join(of("a"), "a").join(of("b"), "b").select(F.col("a_lead").alias("a"), F.col("b_lead").alias("b"))
-
-    heads = distinct.select("fp", "n", F.posexplode("prefix").alias("pos", "g"))
-    seen = heads.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("fp", "n", "pos")).alias("lead")).where("m > 1").select("g", "lead")
-    shared = materialize(heads.join(seen, "g"), "shared")
-
-    def alike(n, at, m, other):
-        """Sets of n and m shingles whose first common one is at these places can still be alike."""
-        least = (n + m) * (similarity / (1 + similarity)) - 1e-6
-        return (F.least(n, m) >= F.greatest(n, m) * similarity - 1e-6) & (F.least(n - at, m - other) >= least)
-
     c = F.col
-    led = shared.where((c("fp") != c("lead.fp")) & alike(c("n"), c("pos"), c("lead.n"), c("lead.pos"))).select(c("lead.fp").alias("a"), c("fp").alias("b"))
+    lead = materialize(distinct.groupBy("sim").agg(F.min("fp").alias("lead")), "sims")
+    own = distinct.join(lead, "sim").where("fp <> lead").select(c("lead").alias("a"), c("fp").alias("b"))
+    near = links(lead.select(c("sim").alias("fp")))
+    of = lambda end: lead.select(c("sim").alias(end), c("lead").alias(f"{end}_lead"))
+    near = near.join(of("a"), "a").join(of("b"), "b").select(c("a_lead").alias("a"), c("b_lead").alias("b"))
+
+    # One exchange serves the count and the join.
+    heads = prints.join(distinct.select("fp", "row"), ["fp", "row"], "left_semi").select("fp", "n", F.posexplode("prefix").alias("pos", "g"))
+    heads = heads.select("g", "fp", (c("n") * (1 << 32) + c("pos")).alias("at")).repartition(shuffle_width(docs.sparkSession), "g")
+    seen = heads.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("fp", "at")).alias("lead")).where("m > 1").select("g", "lead")
+    n, pos = (lambda at: F.shiftright(at, 32)), (lambda at: at.bitwiseAND((1 << 32) - 1))
+    shared = heads.join(seen, "g").select("g", "fp", n(c("at")).alias("n"), pos(c("at")).alias("pos"), c("lead.fp").alias("lead"), n(c("lead.at")).alias("lead_n"), pos(c("lead.at")).alias("lead_pos"))
+    shared = materialize(shared, "shared")
+
+    share = similarity / (1 + similarity)  # of both sets' shingles together, two sets that are alike have this much in common at least
+    sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6
+    # Whether this can be the first shingle, of both, that two alike sets have in common.
+    first_one = F.least(c("n") - c("pos"), c("lead_n") - c("lead_pos")) >= (c("n") + c("lead_n")) * share - 1e-6
+    led = shared.where((c("fp") != c("lead")) & sized(c("n"), c("lead_n")) & first_one).select(c("lead").alias("a"), c("fp").alias("b"))
     tried = materialize(own.union(near).union(led).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    first = materialize(verified(tried, distinct, docs, text_col, similarity), "first-links")
 
-    needed = distinct.join(tried.select(F.explode(F.array("a", "b")).alias("fp")).union(shared.select("fp")).distinct(), "fp", "left_semi").select("tk")
-
-    def run(batches):
-        for batch in batches:
-            sets = list(shingle_sets(batch.column(0).to_pylist()))
-            yield pa.record_batch([pa.array([set_print(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["fp", "grams"])
-
-    text = docs[f"`{text_col}`"].cast("string")
-    texts = docs.select(F.xxhash64(text).alias("tk"), text.alias("t")).groupBy("tk").agg(F.min("t").alias("t"))
-    sets = materialize(texts.join(needed, "tk", "left_semi").select("t").mapInArrow(run, "fp long, grams binary"), "sets")
-
-    first = materialize(verified(tried, sets, similarity), "first-links")
-    rooted = shared.select("g", "fp", "n", "pos").join(components(first), "fp", "left").select("g", "fp", "n", "pos", F.coalesce("root", "fp").alias("root"))
+    rooted = shared.select("g", "fp", "n").join(components(first), "fp", "left").select("g", "fp", "n", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "rooted")
     # Of two sets apart, one at least is not in the main component of a shingle.
     main = rooted.groupBy("g", "root").agg(F.count("*").alias("m")).groupBy("g").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("k")).where("k > 1").select("g", "main")
     split = materialize(rooted.join(main, "g"), "split")
-    x = split.where("root <> main").select("g", c("fp").alias("p"), c("n").alias("np"), c("pos").alias("ip"), c("root").alias("rp"))
-    y = split.select("g", c("fp").alias("q"), c("n").alias("nq"), c("pos").alias("iq"), c("root").alias("rq"))
-    others = x.join(y, "g").where((c("rp") != c("rq")) & alike(c("np"), c("ip"), c("nq"), c("iq"))).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    others = materialize(others.join(tried, ["a", "b"], "left_anti"), "others")
-    return first.union(verified(others, sets, similarity))
+    x = split.where("root <> main").select("g", c("fp").alias("p"), c("n").alias("np"), c("root").alias("rp"))
+    y = split.select("g", c("fp").alias("q"), c("n").alias("nq"), c("root").alias("rq"), (c("root") == c("main")).alias("in_main"))
+    met = x.join(y, "g").where((c("rp") != c("rq")) & (c("in_main") | (c("p") < c("q"))) & sized(c("np"), c("nq")))
+    counted = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), (c("np") + c("nq")).alias("all"), F.greatest("np", "nq").alias("most")).groupBy("a", "b", "all", "most").agg(F.count("*").alias("common"))
+    # Behind its prefix a set has ceil(similarity * n) - 1 shingles, so no more can be in common than these and the common ones of both prefixes.
+    enough = counted.where(c("common") + F.ceil(c("most") * similarity - 1e-6) - 1 >= c("all") * share - 1e-6).select("a", "b")
+    others = materialize(enough.join(tried, ["a", "b"], "left_anti"), "others")
+    return first.union(verified(others, distinct, docs, text_col, similarity))
 
 
 def rooted_sets(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Rows (id, tk, fp) in the order of ``docs``, and the root of each fp; a root stands for one component."""
+    """Rows (id, tk, fp) of ``docs``, and the root of each fp; a root stands for one component."""
     common, counts = common_shingles(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast((common, counts))
 
     def run(batches):
         for batch in batches:
-            found = [(set_print(x), set_fingerprint(x), len(x), prefix(x, *shared.value, similarity).view(np.int64)) for x in shingle_sets(batch.column(2).to_pylist())]
+            found = [(set_print(x), set_fingerprint(x), len(x), prefix(x, *shared.value, similarity).view(np.int64)) for x in shingle_sets(batch.column(3).to_pylist())]
             columns = zip(*found, strict=True) if found else [[]] * 4
             types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.record_batch([*batch.columns[:2], *(pa.array(x, t) for x, t in zip(columns, types, strict=True))], names=["id", "tk", "fp", "sim", "n", "prefix"])
+            yield pa.record_batch([*batch.columns[:3], *(pa.array(x, t) for x, t in zip(columns, types, strict=True))], names=["id", "row", "tk", "fp", "sim", "n", "prefix"])
 
     text = docs[f"`{text_col}`"].cast("string")
-    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.xxhash64(text).alias("tk"), text.alias("t"))
-    prints = materialize(rows.mapInArrow(run, "id long, tk long, fp long, sim long, n long, prefix array<long>"), "set-prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("tk").alias("tk"), F.first("sim").alias("sim"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "distinct-sets")
-    roots = components(set_links(docs, distinct, text_col, similarity))
+    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text).alias("tk"), text.alias("t"))
+    prints = materialize(rows.mapInArrow(run, "id long, row long, tk long, fp long, sim long, n long, prefix array<long>"), "set-prints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min(F.struct("row", "tk", "sim")).alias("x")).select("fp", "x.row", "x.tk", "x.sim"), "distinct-sets")
+    roots = components(set_links(docs, prints, distinct, text_col, similarity))
     return prints.select("id", "tk", "fp"), distinct.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
