@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -23,11 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it.
 
-    Only where the session names none (tests on one machine) a temporary folder
-    is made and set for the rest of the session.
+    Only where the session names none and runs on one machine (as tests do) a
+    temporary folder is made and set for the rest of the session; a cluster must name one.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="siltworks-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -62,19 +67,36 @@ def word_count(text: Column) -> Column:
 
 
 def most_frequent(df: DataFrame, count_col: str, most: int) -> DataFrame:
-    """The rows of the highest counts, as many whole steps of counts as hold ``most`` rows together at most.
+    """Rows of the highest counts, about ``most`` of them at most.
 
     A histogram of at most some hundred steps (eighths of powers of two) decides,
-    so neither sorting nor a task's own best rows reach the driver.
+    so neither sorting nor a task's own best rows reach the driver. Of the step
+    that would hold too many, a part is chosen by hash.
     """
     step = F.floor(F.log2(F.col(count_col)) * 8).cast("int")
-    held, cut = 0, None
+    held, cut, part = 0, None, 0.0
     for s, n in sorted(((r[0], r[1]) for r in df.groupBy(step.alias("s")).agg(F.count("*")).collect()), reverse=True):
+        cut, part = s, min(1.0, (most - held) / n)
         held += n
         if held > most:
             break
-        cut = s
-    return df.where(step >= cut) if cut is not None else df.limit(0)
+    if cut is None:
+        return df.limit(0)
+    chosen = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 30)) < F.lit(int(part * (1 << 30)))
+    return df.where((step > cut) | ((step == cut) & chosen))
+
+
+def trimmed(run):
+    """``run`` over batches, after which the worker gives back the memory that it no longer uses, as it may idle through other stages."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
 
 
 def shuffle_width(spark: SparkSession) -> int:

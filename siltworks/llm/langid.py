@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import table
+from .common import table, trimmed
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -201,7 +201,7 @@ def predict(docs: DataFrame, net: Net, text_col: str = "text", keep: list[str] |
             langs, scores = classify(net, batch.column(at).to_pylist())
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=out.names)
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(trimmed(run), out)
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

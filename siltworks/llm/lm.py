@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from .common import materialize, shuffle_width, table
+from .common import materialize, shuffle_width, table, trimmed
 
 MU, A = 64.0, 0.5
 #: Tokens and rows of a chunk: it is closed once it has as many of either. A text is never cut.
@@ -142,7 +142,7 @@ def coded(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
         if sizes:
             yield out()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 @dataclass
@@ -208,7 +208,7 @@ def asked(chunks: DataFrame, parts: int) -> DataFrame:
                 numbers = [np.full(len(spans), row["chunk"]), np.full(len(spans), row["back"], np.int32), part[cuts].astype(np.int32), np.array([j - i for i, j in spans], np.int32)]
                 yield pa.record_batch([*map(pa.array, numbers), *(pa.array(x, pa.binary()) for x in sent)], names=list(_TYPES)[:7])
 
-    return chunks.select("chunk", "back", "n", "ids", "words", "sizes", "in_b", "in_t").mapInArrow(run, _ASKED)
+    return chunks.select("chunk", "back", "n", "ids", "words", "sizes", "in_b", "in_t").mapInArrow(trimmed(run), _ASKED)
 
 
 def summed(rows: DataFrame, parts: int, answer: bool) -> DataFrame:
@@ -245,7 +245,7 @@ def summed(rows: DataFrame, parts: int, answer: bool) -> DataFrame:
             yield add(held)
 
     width = min(parts, shuffle_width(rows.sparkSession))
-    return rows.repartitionById(width, F.col("part")).sortWithinPartitions("part", "chunk").mapInArrow(run, _SUMMED)
+    return rows.repartitionById(width, F.col("part")).sortWithinPartitions("part", "chunk").mapInArrow(trimmed(run), _SUMMED)
 
 
 def parts_for(chunks: DataFrame) -> int:
@@ -347,7 +347,7 @@ def scored(chunks: DataFrame, answers: DataFrame, n_background: int, n_target: i
     answers = answers.select("chunk", "back", "part", F.col("n").alias("m"), "b", "t")
     heads = chunks.select("chunk", "back", F.lit(-1).alias("part"), *texts, *nothing(answers, counts))
     both = heads.unionByName(answers.select("chunk", "back", "part", *nothing(chunks, texts), *counts))
-    return both.repartitionById(shuffle_width(chunks.sparkSession), F.col("back")).sortWithinPartitions("chunk", "part").mapInArrow(run, schema)
+    return both.repartitionById(shuffle_width(chunks.sparkSession), F.col("back")).sortWithinPartitions("chunk", "part").mapInArrow(trimmed(run), schema)
 
 
 def score(docs: DataFrame, model: Model | None = None, text_col: str = "text", keep: list[str] | None = None, name: str = "ce_difference", target_ids: DataFrame | None = None, id_col: str = "doc_id") -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import table
+from .common import table, trimmed
 
 #: Votes.
 NONE, BAD, GOOD = 0, 1, 2
@@ -214,7 +214,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: i
         yield pa.record_batch([pa.array(list(seen), types[0]), pa.array(list(seen.values()), types[1]), *(pa.nulls(none, t) for t in types[2:])], names=names)
 
     names, types = ["code", "n", "h", "places", "counts", "x"], [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.float64())]
-    found = named.select(F.xxhash64("id").alias("h"), "t").mapInArrow(run, "code int, n long, h long, places binary, counts binary, x array<double>")
+    found = named.select(F.xxhash64("id").alias("h"), "t").mapInArrow(trimmed(run), "code int, n long, h long, places binary, counts binary, x array<double>")
     # One pass: patterns are summed under no hash, samples stay rows of their own.
     tallied = found.groupBy("code", "h").agg(F.sum("n").alias("n"), F.min(F.struct("places", "counts", "x")).alias("sample")).orderBy(F.col("h").asc_nulls_first(), "code").limit(3**LABELLERS + rows).collect()
     decode = lambda codes: np.array([[c // 3**i % 3 for i in range(LABELLERS)] for c in codes], np.int64).reshape(-1, LABELLERS)
@@ -250,7 +250,7 @@ def classify(docs: DataFrame, models: tuple[LabelModel, Scorer], text_col: str =
             scores = [scorer.score(t, x) for t, x in zip(texts, xs, strict=True)]
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(scores, pa.float64()), pa.array(posterior, pa.float64()), pa.array([s >= threshold for s in scores], pa.bool_())], names=out.names)
 
-    return rows.mapInArrow(run, out)
+    return rows.mapInArrow(trimmed(run), out)
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, most_frequent, shuffle_width, table
+from .common import materialize, most_frequent, shuffle_width, table, trimmed
 
 BUDGET = 3
 BLOCKS, BLOCK_BITS = 4, 16
@@ -340,7 +340,7 @@ def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndar
 
     texts = docs.select(docs[f"`{text_col}`"].cast("string").alias("t"))
     some = texts.sample(min(1.0, max(SAMPLE_SHARE, SAMPLE_ROWS / max(1, docs.count()))), 7)
-    counts = some.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 2")
+    counts = some.mapInArrow(trimmed(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n > 2")
     top = most_frequent(materialize(counts, "common"), "n", COMMON).toPandas()
     grams, n = top["g"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
     by = np.argsort(grams)
@@ -393,9 +393,9 @@ def verified(pairs: DataFrame, keys: DataFrame, docs: DataFrame, text_col: str,
     text = docs[f"`{text_col}`"].cast("string")
     # A null text has a hash of its own, so every row is found by it.
     texts = docs.select(F.xxhash64(text).alias("tk"), text.alias("t")).join(F.broadcast(needed) if needed.count() <= NAMED else needed, "tk", "left_semi")
-    sets = materialize(texts.groupBy("tk").agg(F.min("t").alias("t")).select("t").mapInArrow(sets_of, "fp long, grams binary"), "sets")
+    sets = materialize(texts.groupBy("tk").agg(F.min("t").alias("t")).select("t").mapInArrow(trimmed(sets_of), "fp long, grams binary"), "sets")
     both = with_sets(with_sets(pairs, sets, "a", "x"), sets, "b", "y")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(trimmed(run), "a long, b long")
 
 
 def set_links(docs: DataFrame, prints: DataFrame, distinct: DataFrame, text_col: str, similarity: float) -> DataFrame:
@@ -460,7 +460,7 @@ def rooted_sets(docs: DataFrame, id_col: str, text_col: str, similarity: float)
 
     text = docs[f"`{text_col}`"].cast("string")
     rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text).alias("tk"), text.alias("t"))
-    prints = materialize(rows.mapInArrow(run, "id long, row long, tk long, fp long, sim long, n long, prefix array<long>"), "set-prints")
+    prints = materialize(rows.mapInArrow(trimmed(run), "id long, row long, tk long, fp long, sim long, n long, prefix array<long>"), "set-prints")
     distinct = materialize(prints.groupBy("fp").agg(F.min(F.struct("row", "tk", "sim")).alias("x")).select("fp", "x.row", "x.tk", "x.sim"), "distinct-sets")
     roots = components(set_links(docs, prints, distinct, text_col, similarity))
     return prints.select("id", "tk", "fp"), distinct.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))

@@ -21,9 +21,19 @@ def clean_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return df.select(df[f"`{id_col}`"].cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")) & (F.size("v") > 0))
 
 
+def numbered(queries: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with columns key (one for each row), own (of query and item alike: they are one and the same) and id; the rest stays.
+
+    If both have a column row, they are rows of one table: a query's own row alone
+    is no candidate. Otherwise no item that has the query's id is one.
+    """
+    own = "row" if {"row"} <= set(queries.columns) & set(items.columns) else "id"
+    return tuple(df.withColumns({"own": F.col(own).cast("long"), "key": F.monotonically_increasing_id()}) for df in (queries, items))
+
+
 def dealt(side: DataFrame, own: str, buckets: int, other: str, copies: int) -> DataFrame:
     """Give each row its bucket in ``own``, and a copy for every bucket of the other side."""
-    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
     return side.withColumn(own, bucket).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
 
