@@ -174,8 +174,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """
     named = docs.select(docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].cast("string").alias("t"), docs[f"`{lang_col}`"].cast("string").alias("lang"))
     usable = named.where(F.col("lang").isNotNull() & F.col("t").rlike(r"\p{L}") & ~is_held_out(F.col("id")))
+    # Twice a language's share passes by hash where it stands, so only so many rows meet in one place. At most ``rows`` languages are looked at.
+    counts = named.where(F.col("lang").isNotNull() & ~is_held_out(F.col("id"))).groupBy("lang").agg(F.count("*").alias("m")).orderBy(F.desc("m"), "lang").limit(rows)
+    share = 2.0 * -(-rows // max(1, counts.count()))
+    passed = usable.select("id", "lang", F.xxhash64("id").alias("h")).join(F.broadcast(counts), "lang").where(F.pmod("h", F.lit(1 << 30)) <= F.lit(share * (1 << 30)) / F.col("m"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    chosen = usable.select("id", "lang", F.xxhash64("id").alias("h")).withColumn("turn", turn).where(F.col("turn") <= rows).orderBy("turn", "h", "id").limit(rows).select("id").distinct()
+    chosen = passed.withColumn("turn", turn).orderBy("turn", "h", "id").limit(rows).select("id").distinct()
     start = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.greatest(F.lit(1), F.length("t") - WINDOW)).cast("int") + 1
     cut = F.array(*[F.substr("t", start(k), F.lit(WINDOW)) for k in range(TRAIN_WINDOWS)])
     found = usable.join(F.broadcast(chosen), "id", "left_semi").select("lang", "id", F.array_distinct(cut).alias("w")).orderBy("id", "lang", "w").limit(rows).collect()

@@ -47,7 +47,7 @@ SHINGLE = 3
 #: Likeness of whole texts, for ``classes`` and ``keep_one``: words in a shingle and least Jaccard index.
 WORDS, SIMILARITY = 5, 0.8
 #: Texts looked at for frequent shingles (this share of all, and as many at least), and how many of these are sent to all tasks at most.
-SAMPLE_SHARE, SAMPLE_ROWS, COMMON = 0.02, 8192, 1 << 18
+SAMPLE_SHARE, SAMPLE_ROWS, COMMON = 0.1, 2000, 1 << 18
 #: Texts to compare that are named to all tasks at most; more are joined.
 NAMED = 1 << 20
 #: Texts whose shingles are hashed at a time, and pairs that name one set before it is copied.
@@ -403,8 +403,7 @@ def set_links(docs: DataFrame, prints: DataFrame, distinct: DataFrame, text_col:
 
     ``distinct`` has a row (fp, sim, tk, row) for each set, and ``prints`` under that
     row its n and prefix. First the links of the tries are checked, and with them
-    one pair for each set and shingle of its prefix, which joins most of a group;
-    then all pairs that share enough of their prefixes and are not in one
+    one pair for each set, which joins most of a group; then all pairs that share enough of their prefixes and are not in one
     component yet. Pairs in one component add nothing, so a large group is never
     compared pair by pair.
     """
@@ -416,18 +415,20 @@ def set_links(docs: DataFrame, prints: DataFrame, distinct: DataFrame, text_col:
     near = near.join(of("a"), "a").join(of("b"), "b").select(c("a_lead").alias("a"), c("b_lead").alias("b"))
 
     # One exchange serves the count and the join.
-    heads = prints.join(distinct.select("fp", "row"), ["fp", "row"], "left_semi").select("fp", "n", F.posexplode("prefix").alias("pos", "g"))
-    heads = heads.select("g", "fp", (c("n") * (1 << 32) + c("pos")).alias("at")).repartition(shuffle_width(docs.sparkSession), "g")
-    seen = heads.groupBy("g").agg(F.count("*").alias("m"), F.min(F.struct("fp", "at")).alias("lead")).where("m > 1").select("g", "lead")
-    n, pos = (lambda at: F.shiftright(at, 32)), (lambda at: at.bitwiseAND((1 << 32) - 1))
-    shared = heads.join(seen, "g").select("g", "fp", n(c("at")).alias("n"), pos(c("at")).alias("pos"), c("lead.fp").alias("lead"), n(c("lead.at")).alias("lead_n"), pos(c("lead.at")).alias("lead_pos"))
-    shared = materialize(shared, "shared")
+    heads = prints.join(distinct.select("fp", "row"), ["fp", "row"], "left_semi").select("fp", "n", F.explode("prefix").alias("g"))
+    heads = heads.repartition(shuffle_width(docs.sparkSession), "g")
+    seen = heads.groupBy("g").agg(F.count("*").alias("m")).where("m > 1").select("g")
+    shared = materialize(heads.join(seen, "g", "left_semi"), "shared")
 
     share = similarity / (1 + similarity)  # of both sets' shingles together, two sets that are alike have this much in common at least
     sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6
-    # Whether this can be the first shingle, of both, that two alike sets have in common.
-    first_one = F.least(c("n") - c("pos"), c("lead_n") - c("lead_pos")) >= (c("n") + c("lead_n")) * share - 1e-6
-    led = shared.where((c("fp") != c("lead")) & sized(c("n"), c("lead_n")) & first_one).select(c("lead").alias("a"), c("fp").alias("b"))
+    # Of the sets with a shingle, the one leads that has the fewest shingles to itself, as the original of many copies has. Each set
+    # tries the one that leads the most of its shingles.
+    central = shared.groupBy("fp").agg((F.count("*") / F.first("n")).alias("central"))
+    shown = shared.join(central, "fp")
+    leads = shown.groupBy("g").agg(F.max(F.struct("central", "fp", "n")).alias("lead")).select("g", c("lead.fp").alias("lead"), c("lead.n").alias("lead_n"))
+    led = shared.join(leads, "g").where((c("fp") != c("lead")) & sized(c("n"), c("lead_n"))).groupBy("fp", "lead").agg(F.count("*").alias("m"))
+    led = led.groupBy("fp").agg(F.max_by("lead", F.struct("m", "lead")).alias("a")).select("a", c("fp").alias("b"))
     tried = materialize(own.union(near).union(led).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     first = materialize(verified(tried, distinct, docs, text_col, similarity), "first-links")
 
