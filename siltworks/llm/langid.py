@@ -204,6 +204,7 @@ def predict(docs: DataFrame, net: Net, text_col: str = "text", keep: list[str] |
         for batch in batches:
             langs, scores = classify(net, batch.column(at).to_pylist())
             yield pa.record_batch([*batch.columns[: len(keep)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=out.names)
+        _tables.clear()  # the worker may idle through other stages
 
     return rows.mapInArrow(trimmed(run), out)
 
