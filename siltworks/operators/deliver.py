@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import shutil
 import tarfile
+import warnings
 import zipfile
 from pathlib import Path
 
@@ -23,23 +24,28 @@ def files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def clear(spark: SparkSession, root: str) -> None:
-    """Remove a delivery's earlier files and make its folder."""
+    """Remove the plain files at the top of a delivery's folder, and nothing else; make the folder if there is none."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path, True)
     fs.mkdirs(path)
+    for found in fs.listStatus(path):
+        if found.isFile():
+            fs.delete(found.getPath(), False)
 
 
 def copy_kept(manifest: DataFrame, root: str) -> int:
     """Copy the manifest's sources into ``root`` under their kept names; how many. Local file systems and mounts.
 
-    The kept set is what a human or a policy has selected, so names go to the
+    A source that is gone is named in a warning and left out. The kept set is what a human or a policy has selected, so names go to the
     driver, never contents.
     """
     target = Path(root.removeprefix("file://"))
     n = 0
     for source, name in manifest.orderBy("scan_ord").select("source", "kept_as").toLocalIterator():
-        shutil.copyfile(source, target / name)
+        if not Path(source).is_file():
+            warnings.warn(f"source is gone, left out: {source}", stacklevel=2)
+            continue
+        shutil.copyfile(source, target / name)  # no link: a change to what is kept must not reach the source
         n += 1
     return n
 

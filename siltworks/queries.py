@@ -72,13 +72,13 @@ def talk_credentials(messages: DataFrame) -> DataFrame:
 
 
 def talk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates joined to their view; every tenth candidate has no readable session."""
+    """Candidates joined to their view: all conversations, and added candidates (ids below zero) that have no readable session."""
     m = talk(spark, sf_dir)
     seen = view.session_view(m, talk_tools(m), talk_credentials(m))
     ids = t(spark, sf_dir, "conversations").select("conv_id").distinct()
+    ids = ids.union(ids.where("conv_id % 10 = 9").select(-1 - F.col("conv_id")))
     cands = ids.select((F.col("conv_id") + 1).cast("long").alias("scan_ord"), F.col("conv_id").cast("string").alias("session_file"), F.when(F.col("conv_id") % 3 == 0, "codex").otherwise("claude").alias("agent"))
-    readable = seen.where(F.col("session_file").cast("long") % 10 != 9)
-    return cands.join(readable, "session_file", "left")
+    return cands.join(seen, "session_file", "left")
 
 
 TALK = """
@@ -118,8 +118,8 @@ FUNNEL = {
 JUDGED = (
     TALK
     + """,
-c AS (SELECT DISTINCT conv_id FROM conversations),
-p AS (SELECT * FROM v WHERE conv_id % 10 <> 9),
+c AS (SELECT DISTINCT conv_id FROM conversations UNION ALL SELECT DISTINCT -1 - conv_id FROM conversations WHERE conv_id % 10 = 9),
+p AS (SELECT * FROM v),
 j AS (SELECT *, conv_id + 1 AS scan_ord,
   CASE WHEN user_turns < 2 THEN 'fail' ELSE 'pass' END AS j1,
   CASE WHEN tool_uses / greatest(assistant_turns, 1)::DOUBLE > 0.4 THEN 'fail' ELSE 'pass' END AS j2,
@@ -267,7 +267,7 @@ def _stage(spark, d, spec: str, p: dict) -> DataFrame:
 
 
 def _one(status: str, reason: str) -> str:
-    return f"WITH {TALK}, p AS (SELECT *, conv_id::VARCHAR AS session_file FROM v WHERE conv_id % 10 <> 9) SELECT session_file, {status} AS status, {reason} AS reason FROM p"
+    return f"WITH {TALK}, p AS (SELECT *, conv_id::VARCHAR AS session_file FROM v) SELECT session_file, {status} AS status, {reason} AS reason FROM p"
 
 
 @query(_one("CASE WHEN user_turns < 3 THEN 'fail' ELSE 'pass' END", "CASE WHEN user_turns < 3 THEN 'user_turns ' || user_turns || ' < 3' ELSE '' END"))
@@ -331,7 +331,7 @@ def credential_stage(spark, d):
 
 
 @query(f"""WITH {TALK} SELECT conv_id::VARCHAR AS session_file,
-array_to_string(list_filter(['Nicht', 'thing', 'ering', 'plan'], lambda k: contains(hay, lower(k))), ',') AS theme_hits FROM v WHERE conv_id % 10 <> 9""")
+array_to_string(list_filter(['Nicht', 'thing', 'ering', 'plan'], lambda k: contains(hay, lower(k))), ',') AS theme_hits FROM v""")
 def theme_hits(spark, d):
     rows = talk_rows(spark, d).where("fmt IS NOT NULL")
     return rows.select("session_file", F.array_join(collect.theme_hits(F.col("hay"), ["Nicht", "thing", "ering", "plan"]), ",").alias("theme_hits"))
@@ -487,9 +487,11 @@ def near_dedup_keep(spark, d):
     return dedup.greedy(users.select((F.col("conv_id") + 1).alias("scan_ord"), "first_user_msg"), 0.12).where("kept").select("scan_ord")
 
 
-def _edges(spark, d, head: int) -> DataFrame:
+@query(f"WITH {greedy_sql('SELECT doc_id AS ord, text AS txt FROM documents', 0.6).split('g_l AS')[0].rstrip().rstrip(',')} SELECT a, b, round(jaccard, 9) AS jaccard FROM g_e")
+def near_dedup_edges(spark, d):
+    """All matching pairs of the documents' texts, at the operator's full range."""
     rows = t(spark, d, "documents").select(F.col("doc_id").alias("scan_ord"), F.col("text").alias("first_user_msg"))
-    sigs = dedup.stored(dedup.signatures(rows, head=head), "signatures").cache()
+    sigs = dedup.stored(dedup.signatures(rows), "signatures").cache()
     first = sigs.groupBy("sig").agg(F.min("scan_ord").alias("ord"))
     found = dedup.matches(first.select("ord", "sig"), 0.6)
     # Every row of a text takes part in its text's matches, and rows of one text match each other.
@@ -500,18 +502,6 @@ def _edges(spark, d, head: int) -> DataFrame:
     return unlike.unionByName(alike).select("a", "b", F.round("jaccard", 9).alias("jaccard"))
 
 
-@query(f"WITH {greedy_sql('SELECT doc_id AS ord, substr(text, 1, 300) AS txt FROM documents', 0.6).split('g_l AS')[0].rstrip().rstrip(',')} SELECT a, b, round(jaccard, 9) AS jaccard FROM g_e")
-def near_dedup_edges(spark, d):
-    """All matching pairs of the documents' openings of 300 characters, as its SQL has them; ``near_dedup_texts`` has the whole range."""
-    return _edges(spark, d, 300)
-
-
-@query(f"WITH {greedy_sql('SELECT doc_id AS ord, text AS txt FROM documents', 0.6).split('g_l AS')[0].rstrip().rstrip(',')} SELECT a, b, round(jaccard, 9) AS jaccard FROM g_e")
-def near_dedup_texts(spark, d):
-    """All matching pairs of the documents' texts, at the operator's full range."""
-    return _edges(spark, d, dedup.HEAD_CHARS)
-
-
 # --- the funnel -------------------------------------------------------------------------------
 
 _TABLE = f"""WITH RECURSIVE {JUDGED},
@@ -563,7 +553,7 @@ def funnel_reasons(spark, d):
 
 def _pool_rows(spark, d) -> DataFrame:
     digest = t(spark, d, "conversations").groupBy(F.col("conv_id").cast("string").alias("session_file")).agg(F.sha2(F.concat_ws("|", F.min_by("role", "turn"), (F.count("*") % 3).cast("string")).cast("binary"), 256).alias("sha256"))
-    return talk_rows(spark, d).join(digest, "session_file")
+    return talk_rows(spark, d).join(digest, "session_file", "left")
 
 
 _POOL = f"""WITH {JUDGED},
@@ -578,7 +568,7 @@ def collect_pool(spark, d):
 
 
 @query(_POOL + """SELECT conv_id::VARCHAR AS session_file, agent, 'exact_duplicate' AS reason, kept_as::VARCHAR AS detail FROM r WHERE k > 1
-UNION ALL SELECT conv_id::VARCHAR, CASE WHEN conv_id % 3 = 0 THEN 'codex' ELSE 'claude' END, 'unparseable', '' FROM c WHERE conv_id % 10 = 9 OR conv_id NOT IN (SELECT conv_id FROM v)""")
+UNION ALL SELECT conv_id::VARCHAR, CASE WHEN conv_id % 3 = 0 THEN 'codex' ELSE 'claude' END, 'unparseable', '' FROM c WHERE conv_id NOT IN (SELECT conv_id FROM v)""")
 def collect_dropped(spark, d):
     return collect.split(_pool_rows(spark, d))[1].select("session_file", "agent", "reason", "detail")
 
@@ -679,14 +669,15 @@ def validate_shape(spark, d):
     return tables.shape(head.unionByName(body))
 
 
-@query("""WITH e AS (SELECT o_orderkey::VARCHAR AS name, md5((o_orderkey % 10)::VARCHAR) AS want FROM orders WHERE o_orderkey % 4 <> 1),
-f AS (SELECT DISTINCT l_orderkey::VARCHAR AS name, md5((CASE WHEN l_orderkey % 9 = 0 THEN -1 ELSE l_orderkey % 10 END)::VARCHAR) AS have FROM lineitem WHERE l_orderkey % 4 <> 2)
+@query("""WITH e AS (SELECT CASE WHEN o_orderkey % 4 = 1 THEN 'only expected ' ELSE '' END || o_orderkey AS name, md5((o_orderkey % 10)::VARCHAR) AS want FROM orders),
+f AS (SELECT DISTINCT CASE WHEN l_orderkey % 4 = 2 THEN 'only found ' ELSE '' END || l_orderkey AS name, md5((CASE WHEN l_orderkey % 9 = 0 THEN -1 ELSE l_orderkey % 10 END)::VARCHAR) AS have FROM lineitem)
 SELECT name, CASE WHEN have IS NULL THEN 'missing' WHEN want IS NULL THEN 'unexpected' ELSE 'differs' END AS problem FROM e FULL JOIN f USING (name) WHERE have IS NULL OR want IS NULL OR have <> want""")
 def reconcile_two_way(spark, d):
-    o, l = t(spark, d, "orders").where("o_orderkey % 4 <> 1"), t(spark, d, "lineitem").where("l_orderkey % 4 <> 2")
-    expected = o.select(F.col("o_orderkey").cast("string").alias("name"), F.md5((F.col("o_orderkey") % 10).cast("string")).alias("sha256"))
+    o, l = t(spark, d, "orders"), t(spark, d, "lineitem")
+    named = lambda key, rest, prefix: F.concat(F.when(F.col(key) % 4 == rest, F.lit(prefix)).otherwise(""), F.col(key).cast("string")).alias("name")
+    expected = o.select(named("o_orderkey", 1, "only expected "), F.md5((F.col("o_orderkey") % 10).cast("string")).alias("sha256"))
     k = F.when(F.col("l_orderkey") % 9 == 0, F.lit(-1)).otherwise(F.col("l_orderkey") % 10)
-    found = l.select(F.col("l_orderkey").cast("string").alias("name"), F.md5(k.cast("string")).alias("sha256")).distinct()
+    found = l.select(named("l_orderkey", 2, "only found "), F.md5(k.cast("string")).alias("sha256")).distinct()
     return deliver.reconcile(expected, found)
 
 
@@ -709,5 +700,5 @@ def injected_blocks(spark, d):
     shown = first.select("session_file", "fmt", F.lit(-1).cast("long").alias("line_no"), F.lit("user").alias("role"), F.lit("<user_instructions>x</user_instructions>").alias("text"), F.lit(None).cast("string").alias("stop"), *[F.lit(0).cast("long").alias(k) for k in ("signed", "unsigned", "redacted")])
     both = m.unionByName(shown)
     seen = view.message_features(both.withColumn("injected", (F.col("role") == "user") & (F.col("fmt") == "codex") & text.is_injected(F.col("text"))))
-    return longs(funnel.injected_summary(seen.where(conv % 10 != 9)), "sessions", "blocks")
+    return longs(funnel.injected_summary(seen), "sessions", "blocks")
 

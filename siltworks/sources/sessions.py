@@ -225,14 +225,16 @@ def candidates(files: DataFrame, workspace: str | None = None, since: str | None
     blocks = F.array_join(F.transform(F.filter(variant(content, "$", _BLOCKS), lambda x: x["type"] == "text"), lambda x: x["text"]), "\n")
     prose = F.when(claude, F.when(F.col("type").isin("user", "assistant"), F.coalesce(F.when(is_kind(content, "$", "STRING"), variant(content, "$", "string")), blocks))).otherwise(F.when(message, joined("\n")))
     hit = F.coalesce(prose.rlike(f"(?im){topic}"), F.lit(False)) if topic else F.lit(True)
+    shown = text.preview(prompt)
     facts = recs.groupBy("session_file").agg(
         F.min_by(where, F.when(where.isNotNull(), F.col("line_no"))).alias("cwd"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(prompt.isNotNull(), F.struct("line_no", F.substring(prompt, 1, 4000).alias("t"))))), lambda x: x["t"]), "\n").alias("prompts"),
+        # The first prompt that has a line to show; of each whole prompt only that line is kept.
+        F.min_by(shown, F.when(shown != "", F.col("line_no"))).alias("first_prompt"),
         F.max(hit.cast("int")).alias("hit"),
     )
     sized = meta.select("session_file", "agent", "source_no", "mtime", "size_bytes", (F.size(F.split(F.decode("content", "ISO-8859-1"), "\n")) - 1).cast("long").alias("n_lines"))
     found = sized.join(facts, "session_file").withColumn("cwd", F.replace("cwd", F.lit("\\"), F.lit("/"))).where("cwd <> ''").where((F.col("n_lines") >= min_lines) & (F.col("hit") == 1))
     if workspace:
         found = found.where(F.contains("cwd", F.lit(workspace)))
-    columns = ["agent", "cwd", F.unix_timestamp("mtime").alias("mtime"), "size_bytes", "n_lines", text.preview(F.col("prompts")).alias("first_prompt"), "session_file"]
+    columns = ["agent", "cwd", F.unix_timestamp("mtime").alias("mtime"), "size_bytes", "n_lines", F.coalesce("first_prompt", F.lit("")).alias("first_prompt"), "session_file"]
     return order.numbered(found.select(*columns, "source_no"), ["source_no", "session_file"]).drop("source_no")

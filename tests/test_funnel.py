@@ -160,4 +160,4 @@ def test_near_pairs_beyond_the_opening(spark, tmp_path):
     grams = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in sigs]
     want = {(a, b) for b in range(len(texts)) for a in range(b) if len(grams[a] & grams[b]) / len(grams[a] | grams[b]) >= 0.6}
     assert {(0, 1), (2, 3), (4, 5)} <= want and not {(6, 7), (8, 9), (10, 11)} & want
-    assert {(r["a"], r["b"]) for r in queries.near_dedup_texts(spark, str(tmp_path)).collect()} == want
+    assert {(r["a"], r["b"]) for r in queries.near_dedup_edges(spark, str(tmp_path)).collect()} == want

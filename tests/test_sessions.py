@@ -185,7 +185,14 @@ def test_delivery(spark, store, loaded, tmp_path):
     entry = entries.first()
     assert entry["kept_as"] == "codex--home--x--proj--two.jsonl" and entry["themes"] == [] and entry["mode"] == "m"
     out = tmp_path / "keep"
+    (out / "own").mkdir(parents=True)
+    (out / "old.jsonl").write_text("x")
     deliver.clear(spark, str(out))
+    assert [p.name for p in out.iterdir()] == ["own"]  # folders are not a delivery's
+    (out / "own").rmdir()
+    gone = entries.withColumn("source", F.concat("source", F.lit(".gone")))
+    with pytest.warns(UserWarning, match="source is gone"):
+        assert deliver.copy_kept(gone, str(out)) == 0
     assert deliver.copy_kept(entries, str(out)) == 1
     want = entries.select(F.col("kept_as").alias("name"), "sha256")
     assert deliver.reconcile(want, deliver.files(spark, str(out))).count() == 0
@@ -200,6 +207,14 @@ def test_delivery(spark, store, loaded, tmp_path):
         direction.manifest(kept.unionByName(kept.withColumn("session_file", F.concat(F.lit("/other"), "session_file"))))
 
 
+def test_first_line_behind_long_scaffolding(spark, tmp_path):
+    lines = [a_line("user", "# AGENTS.md\n" * 900, cwd="/p"), a_line("user", "<system>x\n" * 900 + "  write the report " + "now " * 90), a_line("user", "later")]
+    (tmp_path / "long.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n")
+    (tmp_path / "none.jsonl").write_text(json.dumps(lines[0]) + "\n")
+    found = {r["session_file"].rsplit("/", 1)[1]: r["first_prompt"] for r in sessions.candidates(sessions.read_files(spark, str(tmp_path), "claude", 0)).collect()}
+    assert found == {"long.jsonl": ("write the report " + "now " * 90)[:180], "none.jsonl": ""}
+
+
 def test_intake(spark, store, tmp_path):
     out, mark = str(tmp_path / "out"), str(tmp_path / "mark")
     for expected in (4, 4):  # a second run finds nothing new
