@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltworks.functions import text
+
 from . import dedup
 from .stages import DEDUP, DEDUP_REQUIRES, FAIL, SKIP, STAGES, Params, StageSpec
 
@@ -67,6 +69,16 @@ def reason_lines(judged: DataFrame, most: int = 3) -> DataFrame:
     return top.groupBy("stage_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "s"))), lambda x: x["s"]), "; ").alias("reason"))
 
 
+def dedup_lines(fate: DataFrame, threshold: float, stage_no: int, most: int = 2) -> DataFrame:
+    """stage_no and reason: the first ``most`` rows that the last stage drops, by what they are like. No row if it drops none."""
+    gone = fate.where("NOT kept").orderBy("scan_ord").limit(most).select("scan_ord", "leader")
+    leaders = fate.select(F.col("scan_ord").alias("leader"), text.basename(F.col("session_file")).alias("of"))
+    said = F.concat(F.lit("near-duplicate of "), F.col("of"), F.lit(f" (jaccard>={threshold}) x1"))
+    told = gone.join(leaders, "leader").select("scan_ord", said.alias("s"))
+    line = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("scan_ord", "s"))), lambda x: x["s"]), "; ")
+    return told.agg(line.alias("reason")).where("reason <> ''").select(F.lit(stage_no).alias("stage_no"), "reason")
+
+
 def report(rows: DataFrame, params: Params, stages: Sequence[StageSpec] = STAGES, with_reasons: bool = True) -> DataFrame:
     """stage_no, name, survivors, killed, skipped, off, killed_pct, reason: one row per stage, from L0 (scan) to L9 (dedup).
 
@@ -87,7 +99,8 @@ def report(rows: DataFrame, params: Params, stages: Sequence[StageSpec] = STAGES
     if threshold is None:
         last = alive.agg(F.count("*").alias("survivors"), F.lit(0).cast("long").alias("killed"))
     else:
-        last = dedup.greedy(alive, float(threshold)).agg(F.count_if("kept").alias("survivors"), F.count_if(~F.col("kept")).alias("killed"))
+        fate = dedup.stored(dedup.greedy(alive, float(threshold)).select("scan_ord", "session_file", "kept", "leader"), "fate")
+        last = fate.agg(F.count_if("kept").alias("survivors"), F.count_if(~F.col("kept")).alias("killed"))
     last = last.select(F.lit(n + 1).alias("stage_no"), F.lit(DEDUP).alias("name"), "survivors", "killed", F.lit(0).cast("long").alias("skipped"), F.lit(threshold is None).alias("off"))
     table = scan.unionByName(body).unionByName(last)
     before = F.lag("survivors").over(Window.orderBy("stage_no"))  # ten rows
@@ -97,7 +110,10 @@ def report(rows: DataFrame, params: Params, stages: Sequence[StageSpec] = STAGES
     needs = [*(s.requires for s in stages), DEDUP_REQUIRES]
     requires = F.coalesce(*[F.when(F.col("stage_no") == i, F.lit(r)) for i, r in enumerate(needs, 1)])
     off = F.concat(F.lit("off (nothing sets "), requires, F.lit(")"))
-    return table.join(reason_lines(judged), "stage_no", "left").withColumn("reason", F.when(F.col("off"), off).otherwise(F.coalesce("reason", F.lit(""))))
+    lines = reason_lines(judged)
+    if threshold is not None:
+        lines = lines.unionByName(dedup_lines(fate, threshold, n + 1))
+    return table.join(lines, "stage_no", "left").withColumn("reason", F.when(F.col("off"), off).otherwise(F.coalesce("reason", F.lit(""))))
 
 
 def injected_summary(rows: DataFrame) -> DataFrame:

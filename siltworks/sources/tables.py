@@ -41,12 +41,12 @@ def as_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.concat_ws("\t", *[F.coalesce(text.one_line(F.col(c).cast("string")), F.lit("")) for c in columns]).alias("value"))
 
 
-def write_table(df: DataFrame, path: str, columns: Sequence[str], order: str | None = "scan_ord") -> None:
-    """A folder with one text file, header first, rows in order."""
+def write_table(df: DataFrame, path: str, columns: Sequence[str], order: str | None = "scan_ord", header: bool = True) -> None:
+    """A folder with one text file, header first (unless ``header`` is false), rows in order."""
     spark = df.sparkSession
     rows = as_text(df, columns) if order is None else as_text(df.orderBy(order), columns)
     numbered = rows.select(F.monotonically_increasing_id().alias("i"), "value")
-    head = spark.createDataFrame([(-1, "\t".join(columns))], "i long, value string")
+    head = spark.createDataFrame([(-1, "\t".join(columns))] if header else [], "i long, value string")
     head.union(numbered).repartitionByRange(1, "i").sortWithinPartitions("i").select("value").write.mode("overwrite").text(path)
 
 
