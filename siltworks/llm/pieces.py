@@ -306,7 +306,7 @@ class Encoder:
         """What follows each space mark, after one is put before the text; none for an empty text."""
         if not text:
             return []
-        if SPACE in text or "  " in text:
+        if SPACE in text or "  " in text or text.startswith(" "):  # spaces that stand together, the one put before included
             return _SLOW.findall(SPACE + text.replace(" ", SPACE))
         return text.split(" ")
 
@@ -474,24 +474,22 @@ def encoder(path: str, samples: int) -> Encoder:
     return _encoders[path, samples]
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, samples: int = SAMPLES, digests: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, samples: int = SAMPLES) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all by default) and ``segmentations``, which replaces a column of its name.
 
-    segmentations: array of (ids, n_pieces, log_prob, log_inclusion, decoded_ok);
-    with ``digests``, a digest of the ids stands for them. The seed is the row's
-    key as text, so rows that repeat get the same segmentations. Null and empty
-    texts have one segmentation without pieces. Texts with fewer distinct
-    segmentations than ``samples`` get all of them. Texts of any length are
-    encoded whole. decoded_ok: decoding gives the text back, with any U+2581 of
-    it as a space, as the format has it.
+    segmentations: array of (ids, n_pieces, log_prob, log_inclusion, decoded_ok).
+    The seed is the row's key as text, so rows that repeat get the same
+    segmentations. Null and empty texts have one segmentation without pieces.
+    Texts with fewer distinct segmentations than ``samples`` get all of them.
+    Texts of any length are encoded whole. decoded_ok: decoding gives the text
+    back, with any U+2581 of it as a space, as the format has it.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c != "segmentations"]
     inputs = [*keep, *(c for c in dict.fromkeys((id_col, text_col)) if c not in keep)]
     rows = docs.select(*[docs[f"`{c}`"] for c in inputs])
     id_at, text_at = inputs.index(id_col), inputs.index(text_col)
-    ids_type, ids_sql = (pa.string(), "string") if digests else (pa.list_(pa.int32()), "array<int>")
-    item = pa.struct([("ids", ids_type), ("n_pieces", pa.int64()), ("log_prob", pa.float64()), ("log_inclusion", pa.float64()), ("decoded_ok", pa.bool_())])
-    sql = f"array<struct<ids:{ids_sql},n_pieces:bigint,log_prob:double,log_inclusion:double,decoded_ok:boolean>>"
+    item = pa.struct([("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()), ("log_prob", pa.float64()), ("log_inclusion", pa.float64()), ("decoded_ok", pa.bool_())])
+    sql = "array<struct<ids:array<int>,n_pieces:bigint,log_prob:double,log_inclusion:double,decoded_ok:boolean>>"
     out = StructType([StructField(f.name, f.dataType) for f in rows.schema.fields[: len(keep)]]).add("segmentations", _parse_datatype_string(sql))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -505,7 +503,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 whole = (text or "").replace(SPACE, " ").encode("utf-8", "replace")
                 found.append(
                     [
-                        {"ids": xxhash.xxh64_hexdigest(np.ascontiguousarray(ids, np.int32).tobytes()) if digests else ids, "n_pieces": len(ids), "log_prob": share, "log_inclusion": inclusion, "decoded_ok": next(spelled) == whole}
+                        {"ids": ids, "n_pieces": len(ids), "log_prob": share, "log_inclusion": inclusion, "decoded_ok": next(spelled) == whole}
                         for ids, share, inclusion in of_text
                     ]
                 )
@@ -516,9 +514,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document the piece ids of its sampled segmentations, whole, with their figures."""
     import public_tokenizers
 
-    found = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"], digests=True)
+    found = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
     one = lambda k, name: F.get("segmentations", F.lit(k))[name]
     return found.select(
         "doc_id",

@@ -102,6 +102,28 @@ def test_segmentations(spark, monkeypatch):
     assert pieces.encode(docs.limit(0), PIECE_BPE).count() == 0
 
 
+def test_spaces_before_a_text_are_pieces_too():
+    """The space that encoding puts before a text and the text's own spaces make one run, of which every piece can be drawn."""
+    enc = pieces.Encoder(PIECE_BPE, 400)
+    texts = [" ", " a", "  a", "   ", " in", "a  b", "a "]
+    for text, drawn in zip(texts, enc.sample(texts, texts), strict=True):
+        share = segmentations(enc, text)
+        assert {tuple(d[0].tolist()) for d in drawn} == set(share)
+        assert all(abs(math.exp(d[1]) - share[tuple(d[0].tolist())]) < 1e-9 for d in drawn)
+
+
+def test_pieces_query_gives_whole_segmentations(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()}
+    rows = pieces.op6_pieces(spark, DATA).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        for k in range(1, r["n_segmentations"] + 1):
+            assert r[f"n_pieces_{k}"] == len(r[f"ids_{k}"]) and sp.decode(list(r[f"ids_{k}"])) == texts[r["doc_id"]].replace("▁", " ")
+
+
 def test_quality_against_labels(spark):
     got = quality.op1_quality(spark, DATA).join(spark.read.parquet(f"{DATA}/labels.parquet"), "doc_id").toPandas()
     assert got[got["quality"] == 1]["quality_keep"].mean() >= 0.97
