@@ -24,8 +24,10 @@ To keep one of each group (``keep_one``), texts are alike if their sets of
 five-word shingles have a Jaccard index of 0.8. The tries link fingerprints of
 these sets, and every link is checked on whole sets. As alike texts may differ in
 more bits than the budget, an exact way handles the rest: two such sets share a
-shingle among the rarest fifth of each (prefix filter), and pairs that do, and
-are not in one component yet, are checked on whole sets too. So no pair is lost.
+shingle among the rarest fifth of each (prefix filter). Pairs that do, are not in
+one component yet and whose sketches (parities of the shingles in each of ``BINS``
+bins) differ in no more bins than alike sets may differ in shingles are checked on
+whole sets too. So no pair is lost.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ SHINGLE = 3
 WORDS, SIMILARITY = 5, 0.8
 #: Texts looked at for frequent shingles (this share of all, and as many at least), and how many of these are sent to all tasks at most.
 SAMPLE_SHARE, SAMPLE_ROWS, COMMON = 0.1, 2000, 1 << 18
+#: Bins of a sketch, in words of 64.
+BINS = 512
 #: Texts to compare that are named to all tasks at most; more are joined.
 NAMED = 1 << 20
 #: Texts whose shingles are hashed at a time, and pairs that name one set before it is copied.
@@ -330,6 +334,13 @@ def set_print(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes())).view(np.int64)) if len(grams) else 0
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in each bin, as signed longs. A shingle that only one of two sets has changes one bin,
+    so their sketches differ in no more bins than the sets do in shingles."""
+    odd = np.bincount((grams >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64), minlength=BINS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def common_shingles(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that are frequent among some texts, ascending, and their counts. They only order shingles: results do not depend on them."""
 
@@ -398,13 +409,32 @@ def verified(pairs: DataFrame, keys: DataFrame, docs: DataFrame, text_col: str,
     return both.select("a", "b", "x", "y").mapInArrow(trimmed(run), "a long, b long")
 
 
+def _sized(x, y, similarity: float):
+    """Whether sets of so many shingles can be alike."""
+    return F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6
+
+
+def meetings(split: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (p, q) of sets apart, with their sizes np and nq, once for each shingle g of both prefixes: those that can be alike by their sizes and sketches.
+
+    ``split`` has g, fp, n, sketch, root and the main root of each g.
+    """
+    c = F.col
+    x = split.where("root <> main").select("g", c("fp").alias("p"), c("n").alias("np"), c("root").alias("rp"), c("sketch").alias("sp"))
+    y = split.select("g", c("fp").alias("q"), c("n").alias("nq"), c("root").alias("rq"), (c("root") == c("main")).alias("in_main"), c("sketch").alias("sq"))
+    apart = (c("rp") != c("rq")) & (c("in_main") | (c("p") < c("q")))
+    differ = sum((F.bit_count(c("sp")[i].bitwiseXOR(c("sq")[i])) for i in range(BINS // 64)), F.lit(0))
+    most = (c("np") + c("nq")) * ((1 - similarity) / (1 + similarity))  # shingles that only one of two alike sets has
+    return x.join(y, "g").where(apart & _sized(c("np"), c("nq"), similarity) & (differ <= most + 1e-6)).select("g", "p", "q", "np", "nq")
+
+
 def set_links(docs: DataFrame, prints: DataFrame, distinct: DataFrame, text_col: str, similarity: float) -> DataFrame:
     """Edges (a, b) that connect all distinct sets at or above ``similarity``.
 
-    ``distinct`` has a row (fp, sim, tk, row) for each set, and ``prints`` under that
+    ``distinct`` has a row (fp, sim, tk, row, sketch) for each set, and ``prints`` under that
     row its n and prefix. First the links of the tries are checked, and with them
-    one pair for each set, which joins most of a group; then all pairs that share enough of their prefixes and are not in one
-    component yet. Pairs in one component add nothing, so a large group is never
+    one pair for each set, which joins most of a group; then all pairs that share enough of their prefixes, have like sketches
+    and are not in one component yet. Pairs in one component add nothing, so a large group is never
     compared pair by pair.
     """
     c = F.col
@@ -421,7 +451,7 @@ def set_links(docs: DataFrame, prints: DataFrame, distinct: DataFrame, text_col:
     shared = materialize(heads.join(seen, "g", "left_semi"), "shared")
 
     share = similarity / (1 + similarity)  # of both sets' shingles together, two sets that are alike have this much in common at least
-    sized = lambda x, y: F.least(x, y) >= F.greatest(x, y) * similarity - 1e-6
+    sized = lambda x, y: _sized(x, y, similarity)
     # Of the sets with a shingle, the one leads that has the fewest shingles to itself, as the original of many copies has. Each set
     # tries the one that leads the most of its shingles.
     central = shared.groupBy("fp").agg((F.count("*") / F.first("n")).alias("central"))
@@ -437,9 +467,7 @@ def set_links(docs: DataFrame, prints: DataFrame, distinct: DataFrame, text_col:
     # Of two sets apart, one at least is not in the main component of a shingle.
     main = rooted.groupBy("g", "root").agg(F.count("*").alias("m")).groupBy("g").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("k")).where("k > 1").select("g", "main")
     split = materialize(rooted.join(main, "g"), "split")
-    x = split.where("root <> main").select("g", c("fp").alias("p"), c("n").alias("np"), c("root").alias("rp"))
-    y = split.select("g", c("fp").alias("q"), c("n").alias("nq"), c("root").alias("rq"), (c("root") == c("main")).alias("in_main"))
-    met = x.join(y, "g").where((c("rp") != c("rq")) & (c("in_main") | (c("p") < c("q"))) & sized(c("np"), c("nq")))
+    met = meetings(split.join(distinct.select("fp", "sketch"), "fp"), similarity)
     counted = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), (c("np") + c("nq")).alias("all"), F.greatest("np", "nq").alias("most")).groupBy("a", "b", "all", "most").agg(F.count("*").alias("common"))
     # Behind its prefix a set has ceil(similarity * n) - 1 shingles, so no more can be in common than these and the common ones of both prefixes.
     enough = counted.where(c("common") + F.ceil(c("most") * similarity - 1e-6) - 1 >= c("all") * share - 1e-6).select("a", "b")
@@ -454,15 +482,15 @@ def rooted_sets(docs: DataFrame, id_col: str, text_col: str, similarity: float)
 
     def run(batches):
         for batch in batches:
-            found = [(set_print(x), set_fingerprint(x), len(x), prefix(x, *shared.value, similarity).view(np.int64)) for x in shingle_sets(batch.column(3).to_pylist())]
-            columns = zip(*found, strict=True) if found else [[]] * 4
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.record_batch([*batch.columns[:3], *(pa.array(x, t) for x, t in zip(columns, types, strict=True))], names=["id", "row", "tk", "fp", "sim", "n", "prefix"])
+            found = [(set_print(x), set_fingerprint(x), len(x), prefix(x, *shared.value, similarity).view(np.int64), sketch(x)) for x in shingle_sets(batch.column(3).to_pylist())]
+            columns = zip(*found, strict=True) if found else [[]] * 5
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.record_batch([*batch.columns[:3], *(pa.array(x, t) for x, t in zip(columns, types, strict=True))], names=["id", "row", "tk", "fp", "sim", "n", "prefix", "sketch"])
 
     text = docs[f"`{text_col}`"].cast("string")
     rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text).alias("tk"), text.alias("t"))
-    prints = materialize(rows.mapInArrow(trimmed(run), "id long, row long, tk long, fp long, sim long, n long, prefix array<long>"), "set-prints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min(F.struct("row", "tk", "sim")).alias("x")).select("fp", "x.row", "x.tk", "x.sim"), "distinct-sets")
+    prints = materialize(rows.mapInArrow(trimmed(run), "id long, row long, tk long, fp long, sim long, n long, prefix array<long>, sketch array<long>"), "set-prints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min(F.struct("row", "tk", "sim", "sketch")).alias("x")).select("fp", "x.row", "x.tk", "x.sim", "x.sketch"), "distinct-sets")
     roots = components(set_links(docs, prints, distinct, text_col, similarity))
     return prints.select("id", "tk", "fp"), distinct.select("fp").join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 

@@ -133,3 +133,37 @@ def test_groups_by_whole_shingle_sets(spark):
     assert missed > 10
     assert {r["id"]: r["component_id"] for r in simhash.classes(docs).collect()} == {i: ids[x] for i, x in zip(ids, up, strict=True)}
     assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == sorted({ids[x] for x in up})
+
+
+def test_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 150, 3000):
+        x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        for k in (0, 1, 10, 100):
+            y = np.union1d(x[min(k, n) :], rng.integers(0, 2**63, k, dtype=np.uint64))
+            differ = int(np.bitwise_count((simhash.sketch(x) ^ simhash.sketch(y)).view(np.uint64)).sum())
+            assert differ <= len(np.setxor1d(x, y)) and (differ > 0 or k == 0 or n == 0)
+
+
+def test_near_copies_that_are_not_alike_seldom_meet(spark, monkeypatch):
+    """Of a large group that shares its shingles without being alike, few pairs leave the join, and the groups stay those of all pairs."""
+    rng = np.random.default_rng(4)
+    base, texts = [f"w{x}" for x in rng.integers(0, 400, 150)], []
+    for k in [1] * 30 + [4] * 60 + [6] * 60:
+        words = list(base)
+        for at in rng.choice(150, k, replace=False):
+            words[at] = f"x{rng.integers(1_000_000)}"
+        texts.append(" ".join(words))
+    sets = [set(simhash.shingle_set(t).tolist()) for t in texts]
+    up, by_shingle = list(range(len(texts))), 0
+    for i in range(len(texts)):
+        for j in range(i):
+            by_shingle += len(sets[i] & sets[j]) < 0.8 * len(sets[i] | sets[j])
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = up[i], up[j]
+                up = [min(a, b) if x in (a, b) else x for x in up]
+    made, meetings = [], simhash.meetings
+    monkeypatch.setattr(simhash, "meetings", lambda split, similarity: made.append((meetings(split, similarity).count(), meetings(split, 0.01).count())) or meetings(split, similarity))
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], DOCS)
+    assert {r["id"]: r["component_id"] for r in simhash.classes(docs).collect()} == dict(enumerate(up))
+    assert by_shingle > 5000 and made[0][1] > 5000 and made[0][0] < made[0][1] / 20
