@@ -1,6 +1,7 @@
 """Token counts, sampled segmentations, quality, language models and language identification."""
 
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -37,6 +38,22 @@ def test_most_frequent(spark):
     assert common.most_frequent(df, "n", 3).count() == 3 and common.most_frequent(df, "n", 2).count() == 1 and common.most_frequent(df, "n", 99).count() == 7 and common.most_frequent(df, "n", 0).count() == 0
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()) if f.getName().startswith("shuffle_")}
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before, setting = files(), spark.conf.get(common.CLEANUP)
+    df = spark.range(5000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n"))
+    table = common.materialize(df, "shuffled")
+    left = files() - before
+    for _ in range(50):
+        if not left:
+            break
+        time.sleep(0.1)
+        left = files() - before
+    assert not left and spark.conf.get(common.CLEANUP) == setting
+    assert table.count() == 10 and df.count() == 10
+
+
 def segmentations(enc, text):
     """All segmentations of a text of known characters and their shares."""
     spelled = {b.decode("utf-8", "ignore").replace(" ", "▁"): i for i, b in enumerate(enc.pieces.bytes) if i > 258}
