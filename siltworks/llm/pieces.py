@@ -47,7 +47,7 @@ SLOT_BITS = 16
 #: Neighbours below this code point are looked up in a square table.
 COMMON = 0x250
 #: Words walked at a time, and lattice nodes and words kept before all are dropped.
-CHUNK_WORDS, KEEP_NODES, KEEP_WORDS = 40_000, 300_000, 75_000
+CHUNK_WORDS, KEEP_NODES, KEEP_WORDS = 20_000, 200_000, 75_000
 #: No Gumbel drawn from 53 bits exceeds its location by this much.
 REACH = 40.0
 SAMPLES = 2
