@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. Its result is
 written as Parquet and read again as the next stage's docs. All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``. Stages that run Python behind others
+first have the executors give back the heap that those have grown.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.llm import langid, mixing, pieces, quality, simhash
-from siltworks.llm.common import materialize, table
+from siltworks.llm.common import give_back_heap, materialize, table
 
 #: A text whose language is less certain than this is rejected, as is one without a letter.
 LEAST_LANGUAGE = 0.5
@@ -35,6 +36,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language is found with enough certainty. Learns from the labelled rows; without any, none is rejected."""
+    give_back_heap(spark)
     net = langid.fit(docs)
     if not net.languages:
         return docs
@@ -45,6 +47,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each group of near-duplicates, that of the smallest doc_id."""
+    give_back_heap(spark)
     return simhash.keep_one(docs)
 
 
@@ -57,6 +60,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """doc_id, source and two sampled segmentations of each row."""
     import public_tokenizers
 
+    give_back_heap(spark)
     return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id", "source"])
 
 

@@ -54,3 +54,16 @@ def test_columns_with_the_names_of_predictions(spark):
         docs = stage(spark, docs, DATA)
         assert docs.columns == [*COLUMNS, "score", "lang_pred", "quality_score", "quality_label", "quality_keep"]
     assert 0 < docs.count() == docs.where("score = 7.5 AND lang_pred = 7.5 AND quality_score = 7.5 AND quality_label = 7.5 AND quality_keep = 7.5").count()
+
+
+@pytest.mark.parametrize("name", ["language", "near_dedup", "encode"])
+def test_stages_begin_with_a_collection(spark, name, monkeypatch):
+    for module, call in ((corpus_pipeline.langid, "fit"), (corpus_pipeline.simhash, "keep_one"), (corpus_pipeline.pieces, "encode")):
+        monkeypatch.setattr(module, call, lambda *_, **__: (_ for _ in ()).throw(InterruptedError))
+    docs, sc = spark.read.parquet(f"{DATA}/documents.parquet"), spark.sparkContext
+    beans = sc._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    with pytest.raises(InterruptedError):
+        dict(corpus_pipeline.STAGES)[name](spark, docs, DATA)
+    assert full() > before
