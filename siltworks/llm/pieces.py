@@ -17,17 +17,19 @@ probability that a segmentation is not among the k; its complement's logarithm i
 the inclusion score. All draws come from a counter-based generator seeded by the
 row's key, so they don't depend on how rows are dealt to tasks.
 
-Pieces don't cross a space, and a text's lattice is the chain of its words'. So
-lattices are made once for each distinct word of a task, in numpy, and all words
-of many texts are walked together, an edge at a time.
+Pieces don't cross a space, and a text's lattice is the chain of its words'; a
+word's is the chain of its units', which no piece reaches across. So lattices are
+made once for each distinct unit among those that a task holds, in numpy, and all
+units of many texts are walked together, an edge at a time.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ SLOT_BITS = 16
 #: Neighbours below this code point are looked up in a square table.
 COMMON = 0x250
 #: Words walked at a time, and lattice nodes and words kept before all are dropped.
-CHUNK_WORDS, KEEP_NODES, KEEP_WORDS = 20_000, 200_000, 75_000
+CHUNK_WORDS, KEEP_NODES, KEEP_WORDS = 20_000, 1_500_000, 300_000
 #: No Gumbel drawn from 53 bits exceeds its location by this much.
 REACH = 40.0
 SAMPLES = 2
@@ -59,10 +61,22 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def _uniform(x: np.ndarray) -> np.ndarray:
     """Counter-based: 64-bit counters to (0, 1)."""
-    x = (x + _MIX).astype(np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
+    x = (x + _MIX).astype(np.uint64, copy=False)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(11)
+    u = x.astype(np.float64)
+    u *= 2.0**-53
+    u += 2.0**-54
+    return u
+
+
+def _spans(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``n`` numbers from each ``first`` on, end to end."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
 class Grown:
@@ -101,9 +115,7 @@ class Pieces:
                 self.bytes[i] = piece.replace(SPACE, " ").encode()
         if (self.by_byte < 0).any():
             raise ValueError(f"{path}: no byte pieces")
-        self.byte_count = np.array([len(b) for b in self.bytes], np.int64)
-        self.byte_start = np.cumsum(self.byte_count) - self.byte_count
-        self.all_bytes = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.spelled = pa.array(self.bytes, pa.large_binary())
         self.single = {p for p, _ in spelled if len(p) == 1}
         crossed = {(ord(a), ord(b)) for p, _ in spelled for a, b in pairwise(p)}
         self.crossed = np.array(sorted(a << 32 | b for a, b in crossed), np.uint64)
@@ -162,12 +174,8 @@ class Pieces:
             out[rare] = self.crossed[at] == key
         return out
 
-    def units(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Words, each with its space mark, cut into units where no piece reaches across.
-
-        Symbols of all end to end (code points; the bytes of characters that are
-        no piece), symbols of each unit, and units of each word.
-        """
+    def units(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """Words, each with its space mark, cut into units where no piece reaches across: all end to end, and how many each word has."""
         joined = SPACE + SPACE.join(words)
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
@@ -175,7 +183,14 @@ class Pieces:
         cut = np.ones(len(points), bool)
         cut[1:] = ~self.crosses(points[:-1], points[1:])
         cut[starts] = True
-        units, per_word = np.flatnonzero(cut), np.add.reduceat(cut, starts, dtype=np.int64)
+        bounds = [*np.flatnonzero(cut).tolist(), len(points)]
+        return [joined[a:b] for a, b in pairwise(bounds)], np.add.reduceat(cut, starts, dtype=np.int64)
+
+    def symbols(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of units end to end (code points; the bytes of characters that are no piece), and how many each unit has."""
+        joined = "".join(units)
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
         symbols = points.astype(np.uint64)
         if odd := set(joined) - self.single:
             spelled = {ord(c): [BYTE + b for b in c.encode("utf-8", "replace")] for c in odd}
@@ -186,8 +201,8 @@ class Pieces:
             symbols = np.repeat(symbols, wide)
             for k in at.tolist():
                 symbols[place[k] : place[k] + wide[k]] = spelled[int(points[k])]
-            return symbols, np.add.reduceat(wide, units), per_word
-        return symbols, np.diff(units, append=len(points)), per_word
+            return symbols, np.add.reduceat(wide, np.cumsum(sizes) - sizes)
+        return symbols, sizes
 
     def decode(self, ids) -> str:
         """The text of piece ids. The space that encoding puts before a text is taken off."""
@@ -196,37 +211,52 @@ class Pieces:
 
     def decoded(self, ids: list[np.ndarray]) -> list[bytes]:
         """What ``decode`` gives for each, as bytes; all of them at once."""
-        flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int64)
-        width = self.byte_count[flat]
-        ends = np.cumsum(width)
-        text = self.all_bytes[np.repeat(self.byte_start[flat] - (ends - width), width) + np.arange(int(width.sum()))].tobytes()
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, ids)])].tolist()
+        flat = np.concatenate([*ids, np.zeros(1, np.int32)])  # one more, so that there are bytes in any case
+        _, ends, text = self.spelled.take(pa.array(flat)).buffers()
+        bounds = np.frombuffer(ends, np.int64)[np.cumsum([0, *map(len, ids)])].tolist()
+        text = text.to_pybytes()
         return [text[a:b].removeprefix(b" ") for a, b in pairwise(bounds)]
 
 
+def numbers() -> defaultdict[str, int]:
+    """Numbers strings from 0 on, as they are first asked for."""
+    return defaultdict(count().__next__)
+
+
+def newest(of: defaultdict[str, int], since: int) -> list[str]:
+    """Those numbered ``since`` and higher, in order."""
+    return list(islice(reversed(of), len(of) - since))[::-1]
+
+
 class Lattices:
-    """Lattices of the words seen so far: nodes are numbered through, a node's edges stand together, the longest first."""
+    """Lattices of the units of the words seen so far: nodes are numbered through, a node's edges stand together, the longest first."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}
-        self.word_first, self.word_count, self.unit_node = Grown(np.int64), Grown(np.int64), Grown(np.int64)
+        self.words, self.units = numbers(), numbers()
+        #: By unit its first node; by word where its units' first nodes stand, and how many.
+        self.unit_node, self.word_first, self.word_count, self.word_nodes = Grown(np.int32), Grown(np.int64), Grown(np.int32), Grown(np.int32)
         self.first, self.degree = Grown(np.int32), Grown(np.int16)
         self.cum, self.logp = Grown(np.float64), Grown(np.float64)
-        self.source, self.target, self.piece = Grown(np.int32), Grown(np.int32), Grown(np.int32)
-
-    def add(self, words: list[str]) -> None:
-        """Make the lattices of words that are new."""
-        fresh = list(set(words).difference(self.words))
-        if fresh:
-            self.words.update(zip(fresh, range(self.word_first.n, self.word_first.n + len(fresh)), strict=True))
-            symbols, sizes, count = self.pieces.units(fresh)
-            self.word_first.append(self.unit_node.n + np.cumsum(count) - count)
-            self.word_count.append(count)
-            self._build(symbols, sizes)
+        self.target, self.piece = Grown(np.int32), Grown(np.int32)
+
+    def add(self, words: list[str]) -> np.ndarray:
+        """Numbers of words. Of those that are new, lattices are made of the units that are new."""
+        out = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        if fresh := newest(self.words, self.word_first.n):
+            units, per_word = self.pieces.units(fresh)
+            of_unit = np.fromiter(map(self.units.__getitem__, units), np.int64, len(units))
+            if new := newest(self.units, self.unit_node.n):
+                symbols, sizes = self.pieces.symbols(new)
+                self.unit_node.append(self.first.n + np.cumsum(sizes) - sizes)
+                self._build(symbols, sizes)
+            self.word_first.append(self.word_nodes.n + np.cumsum(per_word) - per_word)
+            self.word_count.append(per_word)
+            self.word_nodes.append(self.unit_node.view[of_unit])
+        return out
 
     def _build(self, symbol: np.ndarray, sizes: np.ndarray) -> None:
         starts, n = np.cumsum(sizes) - sizes, len(symbol)
@@ -247,52 +277,52 @@ class Lattices:
             found.append((size, at[whole], ids[whole]))
             degree[at[whole]] += 1
         # Edges by distance of their node from the end of its unit; of a node, the longest first.
-        order = np.argsort(left, kind="stable")
+        order = np.argsort(left.astype(np.uint16) if left.max(initial=0) < 1 << 16 else left, kind="stable")  # few bits are sorted by radix
         first = np.empty(n, np.int64)
         first[order] = np.cumsum(degree[order]) - degree[order]
         filled, m = first.copy(), int(degree.sum())
-        source, piece, target = np.empty(m, np.int64), np.empty(m, np.int32), np.empty(m, np.int64)
+        piece, target = np.empty(m, np.int32), np.empty(m, np.int64)
         for size, src, ids in reversed(found):
             e = filled[src]
-            filled[src] += 1
-            source[e], piece[e], target[e] = src, ids, np.where(left[src] == size, n, src + size)
+            filled[src] = e + 1
+            piece[e], target[e] = ids, np.where(left[src] == size, n, src + size)
         # Log sums over all ways from a node to the end of its unit, from the ends backward.
-        total, logp = np.zeros(n + 1), self.pieces.logit[piece]
+        total, logp, deg = np.zeros(n + 1), self.pieces.logit[piece], degree[order]
         bounds = np.searchsorted(left[order], np.arange(1, int(left.max(initial=0)) + 2))
-        ends = np.concatenate([np.cumsum(degree[order]), [m]])
+        ends = np.cumsum(deg)
+        begins = ends - deg
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if lo == hi:
                 continue
-            rows = order[lo:hi]
-            e0, e1, deg = int(first[rows[0]]), int(ends[hi - 1]), degree[rows]
-            v = logp[e0:e1] + total[target[e0:e1]]
-            cuts = first[rows] - e0
+            e0, e1 = int(begins[lo]), int(ends[hi - 1])
+            v = logp[e0:e1]
+            v += total[target[e0:e1]]
+            cuts = begins[lo:hi] - e0
             top = np.maximum.reduceat(v, cuts)
-            total[rows] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, deg)), cuts))
-            logp[e0:e1] = v - np.repeat(total[rows], deg)
-        # A node's own running sum, so that it doesn't depend on what stands before.
-        cum, at, k = np.exp(logp), np.flatnonzero(degree > 1), 1
+            total[order[lo:hi]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, deg[lo:hi])), cuts))
+        logp -= np.repeat(total[order], deg)
+        # A node's own running sum, so that it doesn't depend on what stands before. Its last edge is taken in any case.
+        cum, more, k = np.exp(logp), deg > 2, 1
+        at = begins[more]
+        more = deg[more]
         while len(at):
-            cum[first[at] + k] += cum[first[at] + k - 1]
+            cum[at + k] += cum[at + k - 1]
             k += 1
-            at = at[degree[at] > k]
-        cum[ends[:-1] - 1] = 2.0
-        logp[degree[source] == 1] = 0.0
+            at, more = at[more > k + 1], more[more > k + 1]
+        cum[ends - 1] = 2.0
+        logp[begins[deg == 1]] = 0.0
         base_node, base_edge = self.first.n, self.cum.n
-        self.first.append((base_edge + first).astype(np.int32))
-        self.degree.append(degree.astype(np.int16))
+        self.first.append(base_edge + first)
+        self.degree.append(degree)
         self.cum.append(cum)
         self.logp.append(logp)
-        self.source.append((base_node + source).astype(np.int32))
-        self.target.append(np.where(target == n, -1, base_node + target).astype(np.int32))
+        self.target.append(np.where(target == n, -1, base_node + target))
         self.piece.append(piece)
-        self.unit_node.append(base_node + starts)
 
     def nodes(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First nodes of the units of word numbers, end to end, and how many each word has."""
-        first, count = self.word_first.view[words], self.word_count.view[words]
-        at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        return self.unit_node.view[at], count
+        first, n = self.word_first.view[words], self.word_count.view[words].astype(np.int64)
+        return self.word_nodes.view[_spans(first, n)].astype(np.int64), n
 
 
 class Encoder:
@@ -329,7 +359,7 @@ class Encoder:
         active, steps = np.arange(len(node)), []
         counts = np.zeros(len(node), np.int64)
         while len(active):
-            u = _uniform(seed[active] + np.uint64(len(steps)) * np.uint64(0xD1342543DE82EF95))
+            u = _uniform((seed[active] if steps else seed) + np.uint64(len(steps)) * np.uint64(0xD1342543DE82EF95))
             e = first[node].astype(np.int64)
             over = np.flatnonzero(u >= cum[e])
             while len(over):
@@ -364,8 +394,11 @@ class Encoder:
             lp = np.where(inside, logp[edges], 0.0)
             before = phi + np.cumsum(lp, axis=1) - lp
             near = inside & (-before <= REACH - key)
+            far, end = near[:, -1].tolist(), before[:, -1] + lp[:, -1]
+            stop = int(np.flatnonzero(near.any(axis=0)).max(initial=-1)) + 1  # shares fall along a path, so most of a row is too far
+            near, lp, before = near[:, :stop], lp[:, :stop], before[:, :stop]
             rest = np.where(near & (lp < 0), before + np.log(np.maximum(-np.expm1(lp), 5e-324)), -np.inf)
-            u = _uniform(seed + (start + np.arange(width, dtype=np.uint64)[None, :]) * np.uint64(0xA0761D6478BD642F))
+            u = _uniform(seed + (start + np.arange(stop, dtype=np.uint64)[None, :]) * np.uint64(0xA0761D6478BD642F))
             with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
                 keys = np.where(rest > -np.inf, rest - np.log(np.exp(rest - key) - np.log(u)), -np.inf)
             best = np.argsort(-keys, axis=1, kind="stable")[:, : self.k]
@@ -374,8 +407,8 @@ class Encoder:
                 for j in best[row].tolist():
                     if keys[row, j] > -np.inf:
                         heapq.heappush(begun, (-float(keys[row, j]), which, begin + j, float(before[row, j]), (int(path[begin + j]),)))
-                if near[row, -1] and len(path) > begin + width:
-                    more.append((path, begin + width, float(before[row, -1] + lp[row, -1]), its_key, its_seed, which, begun))
+                if far[row] and len(path) > begin + width:
+                    more.append((path, begin + width, float(end[row]), its_key, its_seed, which, begun))
             branches = more
 
     def _chunk(self, held: list[tuple[list[str], int]]) -> Iterator[list[tuple[np.ndarray, float, float]]]:
@@ -383,67 +416,59 @@ class Encoder:
         if x.first.n > KEEP_NODES or len(x.words) > KEEP_WORDS:
             x.clear()
         flat = [w for words, _ in held for w in words]
-        x.add(flat)
-        nodes, per_word = x.nodes(np.fromiter(map(x.words.__getitem__, flat), np.int64, len(flat)))
+        nodes, per_word = x.nodes(x.add(flat))
         word_ends = np.cumsum([0, *(len(words) for words, _ in held)])
         units_before = np.concatenate([[0], np.cumsum(per_word)])[word_ends]
         seeds = np.array([s for _, s in held], np.uint64)
         n_units = np.diff(units_before)
         inside = np.arange(len(nodes)) - np.repeat(units_before[:-1], n_units)
-        step = inside.astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3)
         logp, first, degree, target, piece = x.logp.view, x.first.view, x.degree.view, x.target.view, x.piece.view
-
-        def walk(of: np.ndarray, start: np.ndarray, turn: int):
-            return self._walk(start, np.repeat(seeds, n_units)[of] + step[of] + np.uint64(turn) * np.uint64(0x2545F4914F6CDD1D))
-
         with np.errstate(over="ignore"):
-            edges, counts = walk(np.arange(len(nodes)), nodes, 0)
+            unit_seeds = inside.astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3) + np.repeat(seeds, n_units)
+            edges, counts = self._walk(nodes, unit_seeds)
             ends = np.concatenate([[0], np.cumsum(counts)])
             doc_ends = ends[units_before]
             #: Per text: its samples as (edges, the unit of each edge, log share, key), and what is begun.
             paths, begun = [], []
             unit_of = np.repeat(inside, counts)
-            for d, (_, seed) in enumerate(held):
+            keys = -np.log(-np.log(_uniform(seeds ^ np.uint64(0x5851F42D4C957F2D))))
+            for d, key in enumerate(keys.tolist()):
                 path = edges[doc_ends[d] : doc_ends[d + 1]]
-                key = float(-np.log(-np.log(_uniform(np.array([seed ^ 0x5851F42D4C957F2D], np.uint64))[0])))
                 paths.append([(path, unit_of[doc_ends[d] : doc_ends[d + 1]], float(logp[path].sum()), key)])
                 begun.append([])
             self._rests([(paths[d][0][0], 0, 0.0, paths[d][0][3], seed ^ 0x14057B7EF767814F, 0, begun[d]) for d, (_, seed) in enumerate(held)])
             for turn in range(1, self.k):
-                opened = []
-                for d in range(len(held)):
-                    if not begun[d]:
-                        continue
-                    minus, which, at, phi, closed = heapq.heappop(begun[d])
+                opened, popped = [], [(d, *heapq.heappop(b)) for d, b in enumerate(begun) if b]
+                if not popped:
+                    break
+                drawn = (
+                    _uniform(np.array([(held[d][1] + turn * salt + at) & (2**64 - 1) for d, _, _, at, _, _ in popped], np.uint64)).tolist()
+                    for salt in (0x632BE59BD9B4E019, 0x9FB21C651E98DF25)
+                )
+                for (d, minus, which, at, phi, closed), u, v in zip(popped, *drawn, strict=True):
                     parent, units = paths[d][which][0], paths[d][which][1]
-                    # The node of the parent's edge: its siblings stand beside it.
-                    node = int(x.source.view[parent[at]])
-                    beside = np.array([e for e in range(first[node], first[node] + degree[node]) if e not in closed])
+                    # The node of the parent's edge, where the edge before ends or else its unit begins: its siblings stand beside it.
+                    before = int(target[parent[at - 1]]) if at else -1
+                    node = before if before >= 0 else int(nodes[units_before[d] + units[at]])
+                    beside = np.array([e for e in range(int(first[node]), int(first[node]) + int(degree[node])) if e not in closed])
                     share = np.exp(logp[beside])
-                    u = _uniform(np.array([(held[d][1] + turn * 0x632BE59BD9B4E019 + at) & (2**64 - 1)], np.uint64))[0]
                     chosen = int(beside[min(int(np.searchsorted(np.cumsum(share), u * share.sum(), side="right")), len(beside) - 1)])
                     if len(beside) > 1:
                         rest = phi + np.log(share.sum() - np.exp(logp[chosen]))
-                        v = _uniform(np.array([(held[d][1] + turn * 0x9FB21C651E98DF25 + at) & (2**64 - 1)], np.uint64))[0]
                         heapq.heappush(begun[d], (-float(rest - np.log(np.exp(rest + minus) - np.log(v))), which, at, phi, (*closed, chosen)))
                     opened.append((d, which, at, phi, chosen, int(units[at]), -minus))
-                if not opened:
-                    break
                 # Units after the branch are drawn anew, the branch's own from behind the chosen edge.
-                of, start = [], []
-                for d, _, _, _, chosen, unit, _ in opened:
-                    low = units_before[d] + unit
-                    mine = np.arange(low if target[chosen] >= 0 else low + 1, units_before[d + 1])
-                    own = nodes[mine].copy()
-                    if target[chosen] >= 0:
-                        own[0] = target[chosen]
-                    of.append(mine)
-                    start.append(own)
-                sizes = [len(m) for m in of]
-                of_all = np.concatenate(of)
-                new, new_counts = walk(of_all, np.concatenate(start), turn)
-                new_units = np.repeat(inside[of_all], new_counts)
-                new_ends = np.concatenate([[0], np.cumsum(new_counts)])[np.cumsum([0, *sizes])]
+                docs, chosen, unit = (np.array([o[i] for o in opened], np.int64) for i in (0, 4, 5))
+                behind = target[chosen]
+                inner = behind >= 0
+                low = units_before[docs] + unit + ~inner
+                sizes = units_before[docs + 1] - low
+                of, ends = _spans(low, sizes), np.cumsum(sizes)
+                start = nodes[of]
+                start[(ends - sizes)[inner]] = behind[inner]
+                new, new_counts = self._walk(start, unit_seeds[of] + np.uint64(turn) * np.uint64(0x2545F4914F6CDD1D))
+                new_units = np.repeat(inside[of], new_counts)
+                new_ends = np.concatenate([[0], np.cumsum(new_counts)])[np.concatenate([[0], ends])]
                 branches = []
                 for j, (d, which, at, phi, chosen, unit, key) in enumerate(opened):
                     old, old_units = paths[d][which][:2]

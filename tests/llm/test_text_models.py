@@ -129,6 +129,20 @@ def test_spaces_before_a_text_are_pieces_too():
         assert all(abs(math.exp(d[1]) - share[tuple(d[0].tolist())]) < 1e-9 for d in drawn)
 
 
+def test_lattices_are_made_once_for_each_unit(monkeypatch):
+    enc = pieces.Encoder(PIECE_BPE, 3)
+    words = ["grain,", "grain;", "bread,", "bread;", "grain", "bread"]
+    texts = [" ".join(words), *words, *filter(None, ODD)]
+    drawn = list(enc.sample(texts[:1], texts[:1]))
+    assert enc.lattices.first.n == len("▁grain▁bread,;")  # no piece reaches from a letter to these marks
+    drawn += enc.sample(texts[1:], texts[1:])
+    monkeypatch.setattr(pieces, "CHUNK_WORDS", 3)
+    monkeypatch.setattr(pieces, "KEEP_NODES", 0)  # dropping them changes nothing
+    again = pieces.Encoder(PIECE_BPE, 3).sample(texts, texts)
+    for of_text, same in zip(drawn, again, strict=True):
+        assert [(ids.tolist(), *rest) for ids, *rest in of_text] == [(ids.tolist(), *rest) for ids, *rest in same]
+
+
 def test_pieces_query_gives_whole_segmentations(spark):
     import sentencepiece
 
